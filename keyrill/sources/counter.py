@@ -1,0 +1,116 @@
+"""Counter sources: every partition counts on its own.
+
+``spark.dataSource.register(CounterSource)`` makes ``format("counter")`` readable in
+batch and as a stream. Options:
+
+- ``prefix``: text before the number (default ``word``)
+- ``start``: first number (default 0)
+- ``count``: numbers per partition; a batch ends after them, a stream falls silent
+- ``partitions``: number of partitions (default 1), each with the same numbers
+- ``rowsPerBatch``: numbers a stream partition adds per micro-batch (default 1)
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+
+import pyarrow as pa
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+
+SCHEMA = "word string, number bigint, subtask int"
+ARROW_SCHEMA = pa.schema([("word", pa.string()), ("number", pa.int64()), ("subtask", pa.int32())])
+ROWS_PER_ARROW_BATCH = 10_000
+
+
+@dataclass
+class Counting(InputPartition):
+    subtask: int
+    first: int
+    end: int
+
+
+def count_rows(prefix: str, part: Counting) -> Iterator[pa.RecordBatch]:
+    for low in range(part.first, part.end, ROWS_PER_ARROW_BATCH):
+        numbers = range(low, min(low + ROWS_PER_ARROW_BATCH, part.end))
+        words = [f"{prefix}{n}" for n in numbers]
+        columns = [pa.array(words), pa.array(numbers, pa.int64()), pa.array([part.subtask] * len(words), pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, schema=ARROW_SCHEMA)
+
+
+class _Options:
+    def __init__(self, options: dict):
+        self.prefix = options.get("prefix", "word")
+        self.start = int(options.get("start", 0))
+        self.partition_count = int(options.get("partitions", 1))
+        self.rows_per_batch = int(options.get("rowsPerBatch", options.get("rowsperbatch", 1)))
+        self.count = int(options["count"]) if "count" in options else None
+
+    def split(self, first: int, end: int) -> list[Counting]:
+        return [Counting(i, first, end) for i in range(self.partition_count)]
+
+
+class CounterReader(DataSourceReader):
+    """A bounded counter; ``open`` and ``close`` frame the reading of a partition."""
+
+    def __init__(self, options: dict):
+        self.settings = _Options(options)
+        if self.settings.count is None:
+            raise ValueError("a batch counter needs the option count")
+
+    def partitions(self) -> Sequence[InputPartition]:
+        return self.settings.split(self.settings.start, self.settings.start + self.settings.count)
+
+    def open(self, part: Counting) -> None: ...
+
+    def close(self, part: Counting) -> None: ...
+
+    def read(self, partition: Counting) -> Iterator[pa.RecordBatch]:
+        self.open(partition)
+        try:
+            yield from count_rows(self.settings.prefix, partition)
+        finally:
+            self.close(partition)
+
+
+class CounterStreamReader(DataSourceStreamReader):
+    """A counter that goes on; its offset is the next number, so it can be replayed."""
+
+    def __init__(self, options: dict):
+        self.settings = _Options(options)
+        self.reached: int | None = None
+
+    def initialOffset(self) -> dict:
+        return {"next": self.settings.start}
+
+    def latestOffset(self) -> dict:
+        base = self.settings.start if self.reached is None else self.reached
+        nearest = base + self.settings.rows_per_batch
+        if self.settings.count is not None:
+            nearest = min(nearest, self.settings.start + self.settings.count)
+        self.reached = nearest
+        return {"next": nearest}
+
+    def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
+        self.reached = max(self.reached or 0, end["next"])
+        return self.settings.split(start["next"], end["next"])
+
+    def read(self, partition: Counting) -> Iterator[pa.RecordBatch]:
+        return count_rows(self.settings.prefix, partition)
+
+    def commit(self, end: dict) -> None: ...
+
+
+class CounterSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "counter"
+
+    def schema(self) -> str:
+        return SCHEMA
+
+    def reader(self, schema) -> DataSourceReader:
+        return CounterReader(self.options)
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return CounterStreamReader(self.options)
