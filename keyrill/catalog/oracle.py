@@ -358,5 +358,6 @@ ORACLE: dict[str, str] = {
     "s_count_window": f"SELECT user_id, window_no, names, total FROM ({WINDOW_PAIRS})",
     "s_marker_segments": _segments("user_id"),
     "s_last_value_state": LAST_VALUE,
+    "s_last_value_ttl": LAST_VALUE,
     "s_restart_recovery": _segments("user_id"),
 }

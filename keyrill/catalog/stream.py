@@ -19,7 +19,7 @@ from keyrill.sources.counter import CounterSource
 from keyrill.sources.kafka import bounded_lateness, decode_messages
 from keyrill.sources.text import read_lines, stream_lines
 from keyrill.streaming import processors
-from keyrill.streaming.harness import run_append, run_flushed, state_settings, stream_table
+from keyrill.streaming.harness import run_append, run_flushed, run_until_idle, state_settings, stream_table
 from keyrill.streaming.processors import keyed_state
 from keyrill.streaming.recovery import run_with_restarts
 
@@ -254,15 +254,24 @@ def s_marker_segments(spark, folder):
     return run_append(segments_of(event_stream(spark, folder)), "segments")
 
 
-@query
-def s_last_value_state(spark, folder):
+def last_values(spark, folder, ttl_ms: int | None) -> DataFrame:
     stream = event_stream(spark, folder).select("event_id", "user_id", "event_type")
-    held = keyed_state(
+    return keyed_state(
         stream, "user_id",
-        processors.LastValue(["user_id"], ["event_id"], "event_type", "string", 100_000, "previous"),
+        processors.LastValue(["user_id"], ["event_id"], "event_type", "string", ttl_ms, "previous"),
         "event_id bigint, user_id bigint, event_type string, previous string",
     )
-    return run_append(held, "last-value")
+
+
+@query
+def s_last_value_state(spark, folder):
+    return run_append(last_values(spark, folder, None), "last-value")
+
+
+@query
+def s_last_value_ttl(spark, folder):
+    # Fixed value: held values expire 100 seconds after they were written.
+    return run_until_idle(last_values(spark, folder, 100_000), "last-value-ttl")
 
 
 @query

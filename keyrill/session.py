@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import os
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -53,21 +51,3 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             _local_root = tempfile.mkdtemp(prefix="keyrill-")
         root = _local_root
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
-
-
-def checkpointed(df):
-    """``df`` written to the shared checkpoint folder, with its lineage cut."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(work_dir(df.sparkSession, "lineage"))
-    return df.checkpoint(eager=True)
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable by the Python workers of the session."""
-    context = spark.sparkContext
-    package = Path(__file__).parent
-    if any(Path(f).name.startswith(f"{package.name}-ship") for f in context.listFiles):
-        return
-    base = os.path.join(tempfile.mkdtemp(prefix=f"{package.name}-"), f"{package.name}-ship")
-    context.addPyFile(shutil.make_archive(base, "zip", package.parent, package.name))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -59,6 +60,34 @@ def start_to_parquet(stream: DataFrame, folder: str, name: str | None = None, pa
         return writer.option("checkpointLocation", f"{folder}/checkpoint").start(f"{folder}/out")
 
 
+def run_until_idle(stream: DataFrame, name: str, partitions: int | None = None, patience: float = 600.0) -> DataFrame:
+    """Run a stream until it meets no more input, then stop it; the rows it appended.
+
+    For state that expires by the clock: such a query keeps running empty batches, so it
+    never ends by itself.
+    """
+    spark = stream.sparkSession
+    folder = work_dir(spark, name)
+    writer = stream.writeStream.outputMode("append").format("parquet")
+    with state_settings(spark, partitions):
+        query = writer.option("checkpointLocation", f"{folder}/checkpoint").start(f"{folder}/out")
+    deadline = time.monotonic() + patience
+    try:
+        while query.isActive:
+            progress = query.lastProgress
+            if progress and progress["batchId"] > 0 and progress["numInputRows"] == 0:
+                break
+            if time.monotonic() > deadline:
+                raise TimeoutError(f"{name} still has input after {patience} seconds")
+            time.sleep(0.2)
+        failure = query.exception()
+        if failure:
+            raise failure
+    finally:
+        query.stop()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
 def run_append(stream: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
     """Run a stream over its available input; the rows it appended."""
     spark = stream.sparkSession
