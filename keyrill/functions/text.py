@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 def lines_of(text: Column) -> Column:
     """Lines of a text: split at newlines, a final newline opens no further line."""
-    body = F.regexp_replace(text, r"\n\z", "")
-    return F.split(body, "\r?\n")
+    # Literal replacing and splitting at one character; a regular expression is slower.
+    unix = F.replace(text, F.lit("\r\n"), F.lit("\n"))
+    body = F.when(unix.endswith("\n"), F.left(unix, F.length(unix) - 1)).otherwise(unix)
+    return F.split(body, "\n")
 
 
 def tokens_of(line: Column) -> Column:

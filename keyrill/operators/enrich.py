@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from keyrill.functions.ordering import names
 from keyrill.plans.running import latest, running
-from keyrill.plans.slices import hot_hashes, plan_slices
+from keyrill.plans.slices import ROWS_PER_SLICE, hot_keys, plan_slices
 
 
 def latest_config(config: DataFrame, code: str, value: str, order_by: str | Sequence[str]) -> DataFrame:
@@ -24,7 +24,7 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: str, rows_per_key: int
     very many facts leave the shuffle join: their lookup rows are at most as many as
     the hot keys, a fixed limit, and are broadcast to the facts where those lie.
     """
-    hot = hot_hashes(facts, [on], *([rows_per_key] if rows_per_key else []))
+    hot = list(hot_keys(facts, [on], rows_per_key or ROWS_PER_SLICE))
     if not hot:
         return facts.join(lookup, on)
     is_hot = F.xxhash64(on).isin(hot)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from keyrill.session import work_dir
 
-ROUNDS_PER_JOB = 16
+ROUNDS_PER_JOB = 64
 
 
 def iterate(

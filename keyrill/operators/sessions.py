@@ -36,11 +36,16 @@ def sessionize(
 
 
 def _both(left: DataFrame, right: DataFrame, keys: list[str], time: str, tie: list[str]) -> DataFrame:
+    """The rows of both sides, tagged; their own columns stay whole in one struct.
+
+    Sides with equal columns share the struct ``row``, so that later plans for either
+    side read the same columns and Spark shuffles and sorts the rows once for both.
+    """
     shared = [*keys, time, *tie]
+    alike = left.dtypes == right.dtypes
 
     def tagged(df: DataFrame, side: str) -> DataFrame:
-        payload = F.struct(*df.columns)
-        return df.select(*shared, F.lit(side).alias(SIDE), payload.alias(side))
+        return df.select(*shared, F.lit(side).alias(SIDE), F.struct(*df.columns).alias("row" if alike else side))
 
     return tagged(left, "left").unionByName(tagged(right, "right"), allowMissingColumns=True)
 
@@ -59,8 +64,9 @@ def _pairs(rows: DataFrame, keys: list[str], *extra: str) -> DataFrame:
     same = [*keys, SESSION]
 
     def one_side(side: str) -> DataFrame:
+        payload = F.col("row" if "row" in rows.columns else side).alias(side)
         kept = [F.col(e).alias(f"{side}_{e}") for e in extra]
-        return rows.filter(F.col(SIDE) == side).select(*same, side, *kept)
+        return rows.filter(F.col(SIDE) == side).select(*same, payload, *kept)
 
     return one_side("left").join(one_side("right"), same)
 
@@ -93,7 +99,8 @@ def session_join_per_element(
 def session_cogroup(left: DataFrame, right: DataFrame, keys, time: str, gap: int, order_by, *aggregates: Column, rows_per_slice=None) -> DataFrame:
     """One row per session with the number of rows of each side; one side may be empty.
 
-    ``aggregates`` may use the columns ``side``, ``left`` and ``right``.
+    ``aggregates`` may use ``side`` and the row as a struct: ``row`` if both sides have
+    the same columns, else ``left`` and ``right``, the one of the other side being null.
     """
     rows, _ = two_sided_sessions(left, right, keys, time, gap, order_by, rows_per_slice)
     return rows.groupBy(*names(keys), SESSION).agg(

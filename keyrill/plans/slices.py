@@ -23,21 +23,22 @@ SLICE = "_slice"
 ROWS_PER_SLICE = 1_000_000
 MAX_HOT_KEYS = 4096
 MAX_SLICES = 16_384
+COARSE_SLICES = 256
 # Upper limit of (hot key, slice) pairs, and so of the broadcast carry table.
 MAX_CARRY_ROWS = 1 << 20
 
 
-def hot_hashes(
+def hot_keys(
     df: DataFrame, keys: Sequence[str], above: int = ROWS_PER_SLICE, limit: int = MAX_HOT_KEYS
-) -> list[int]:
-    """Hashes of the largest keys with more than ``above`` rows, at most ``limit``.
+) -> dict[int, int]:
+    """Hash and row count of the largest keys with more than ``above`` rows, at most ``limit``.
 
     Counting combines on the map side, so a hot key crosses the shuffle as one row per
     task. A key left out by the limit has at most a ``limit``-th of all rows.
     """
     counted = df.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count(F.lit(1)).alias("n"))
     rows = counted.filter(F.col("n") > above).orderBy(F.desc("n"), "h").limit(limit).collect()
-    return [row["h"] for row in rows]
+    return {row["h"]: row["n"] for row in rows}
 
 
 @dataclass(frozen=True)
@@ -83,21 +84,37 @@ def plan_slices(
     """
     per_slice = rows_per_slice or ROWS_PER_SLICE
     key_names, order_names = names(keys), names(order_by)
+    whole = SlicePlan(key_names, order_names)
     hot: list[int] = []
+    within, known_total = df, None
     if key_names:
-        hot = hot_hashes(df, key_names, per_slice)
-        if not hot:
-            return SlicePlan(key_names, order_names)
+        counts = hot_keys(df, key_names, per_slice)
+        if not counts:
+            return whole
+        hot, known_total = list(counts), sum(counts.values())
         within = df.filter(F.xxhash64(*key_names).isin(hot))
-    else:
-        within = df
-    total = within.count()
-    wanted = min(MAX_SLICES, MAX_CARRY_ROWS // max(1, len(hot)), -(-total // per_slice))
-    if wanted < 2:
-        return SlicePlan(key_names, order_names)
-    fractions = [i / wanted for i in range(1, wanted)]
-    quantiles = within.select(as_number(df, order_names[0]).alias("o")).agg(
-        F.percentile_approx("o", fractions, 20 * wanted).alias("q")
-    ).head()["q"]
-    bounds = sorted({q for q in quantiles if abs(q) != float("inf")})
+
+    def wanted(total: int) -> int:
+        return min(MAX_SLICES, MAX_CARRY_ROWS // max(1, len(hot)), -(-total // per_slice))
+
+    # One pass gives the size and a coarse grid of quantiles; only a larger number of
+    # slices than the grid has takes another pass.
+    grid = COARSE_SLICES if known_total is None else wanted(known_total)
+    total, quantiles = _quantiles(within, order_names[0], grid)
+    slices = wanted(total)
+    if slices > grid:
+        total, quantiles = _quantiles(within, order_names[0], slices)
+    if slices < 2 or not quantiles:
+        return whole
+    step = max(1, (len(quantiles) + 1) // slices)
+    bounds = sorted({q for q in quantiles[step - 1 :: step] if abs(q) != float("inf")})
     return SlicePlan(key_names, order_names, hot, bounds)
+
+
+def _quantiles(df: DataFrame, order: str, parts: int) -> tuple[int, list[float]]:
+    """Row count and the ``parts - 1`` inner quantiles of the order column."""
+    fractions = [i / parts for i in range(1, parts)] or [0.5]
+    row = df.select(as_number(df, order).alias("o")).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("o", fractions, 20 * parts).alias("q")
+    ).head()
+    return row["n"], row["q"] or []

@@ -13,18 +13,27 @@ from pyspark.sql.types import StructType
 from keyrill.session import ROCKSDB, work_dir
 
 
+# Bytes of input per micro-batch. Processors hold a key's share of a micro-batch in
+# memory, so this bounds what a hot key takes; a backlog is better read by a batch query.
+BYTES_PER_BATCH = 1 << 30
+
+
 def stream_table(
-    spark: SparkSession, folder: str, name: str, max_files: int | None = None, schema: StructType | None = None
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    max_files: int | None = None,
+    max_bytes: int = BYTES_PER_BATCH,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """A stream of the parquet files ``name*.parquet`` of a folder.
+    """A stream of the parquet files ``name*.parquet`` of a folder, oldest first.
 
-    ``max_files`` limits a micro-batch, and with it the rows of one key in it.
+    A micro-batch takes ``max_files`` files if given, else ``max_bytes`` of input.
     """
     known = schema or spark.read.option("pathGlobFilter", f"{name}*.parquet").parquet(folder).schema
     reader = spark.readStream.schema(known).option("pathGlobFilter", f"{name}*.parquet")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    limit = ("maxFilesPerTrigger", max_files) if max_files else ("maxBytesPerTrigger", max_bytes)
+    return reader.option(*limit).parquet(folder)
 
 
 @contextmanager
