@@ -9,6 +9,8 @@ the data, so a lost executor recomputes the same slices.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -41,16 +43,24 @@ def hot_keys(
     return {row["h"]: row["n"] for row in rows}
 
 
+@dataclass(frozen=True)
+class Level:
+    """Bounds on one order column, and its values that fill more than a slice alone."""
+
+    bounds: list[float]
+    heavy: list[float]
+
+
 @dataclass(frozen=True)
 class SlicePlan:
     keys: list[str]
     order_by: list[str]
     hot: list[int] = field(default_factory=list)
-    bounds: list[float] = field(default_factory=list)
+    levels: list[Level] = field(default_factory=list)
 
     @property
     def sliced(self) -> bool:
-        return bool(self.bounds)
+        return bool(self.levels)
 
     @property
     def partition_keys(self) -> list[str]:
@@ -60,15 +70,24 @@ class SlicePlan:
         return F.xxhash64(*self.keys).isin(self.hot) if self.keys else F.lit(True)
 
     def assign(self, df: DataFrame) -> DataFrame:
-        """``df`` with its slice number: 0 for cold keys, from 1 in order for hot ones."""
+        """``df`` with its slice number: 0 for cold keys, rising in order for hot ones.
+
+        A heavy value has a bucket of its own, which the next order column splits on.
+        """
         if not self.sliced:
             return df
-        splits = [float("-inf"), *self.bounds, float("inf")]
-        placed = Bucketizer(
-            splits=splits, inputCol="_order", outputCol="_bucket", handleInvalid="error"
-        ).transform(df.withColumn("_order", as_number(df, self.order_by[0])))
-        number = F.when(self.is_hot(), F.col("_bucket").cast("int") + 1).otherwise(F.lit(0))
-        return placed.withColumn(SLICE, number).drop("_order", "_bucket")
+        placed, number, splitting = df, F.lit(0).cast("long"), self.is_hot()
+        for i, level in enumerate(self.levels):
+            value, bucket = f"_order_{i}", f"_bucket_{i}"
+            placed = Bucketizer(
+                splits=[float("-inf"), *level.bounds, float("inf")],
+                inputCol=value, outputCol=bucket, handleInvalid="error",
+            ).transform(placed.withColumn(value, as_number(df, self.order_by[i])))
+            part = F.when(splitting, F.col(bucket).cast("long") + 1).otherwise(F.lit(0))
+            number = number * (len(level.bounds) + 2) + part
+            splitting = splitting & F.col(value).isin(level.heavy)
+        helpers = [c for c in placed.columns if c not in df.columns]
+        return placed.withColumn(SLICE, number).drop(*helpers)
 
 
 def plan_slices(
@@ -79,42 +98,60 @@ def plan_slices(
 ) -> SlicePlan:
     """Find hot keys and slice bounds for ``df``.
 
-    Without keys the whole frame is one hot key. The first order column decides the
-    slices, so rows that share its value stay together.
+    Without keys the whole frame is one hot key. Slices are cut on the first order
+    column; where one of its values fills more than a slice, on the next one too, and so
+    on. Rows equal in all order columns stay together.
     """
     per_slice = rows_per_slice or ROWS_PER_SLICE
     key_names, order_names = names(keys), names(order_by)
-    whole = SlicePlan(key_names, order_names)
     hot: list[int] = []
-    within, known_total = df, None
+    within, total = df, None
     if key_names:
         counts = hot_keys(df, key_names, per_slice)
         if not counts:
-            return whole
-        hot, known_total = list(counts), sum(counts.values())
+            return SlicePlan(key_names, order_names)
+        hot, total = list(counts), sum(counts.values())
         within = df.filter(F.xxhash64(*key_names).isin(hot))
 
-    def wanted(total: int) -> int:
-        return min(MAX_SLICES, MAX_CARRY_ROWS // max(1, len(hot)), -(-total // per_slice))
+    levels: list[Level] = []
+    groups = max(1, len(hot))
+    for i, column in enumerate(order_names):
+        level = _cut(within, column, per_slice, total, min(MAX_SLICES, MAX_CARRY_ROWS // groups))
+        if level is None:
+            break
+        levels.append(level)
+        if not level.heavy or i + 1 == len(order_names):
+            break
+        within, total = within.filter(as_number(within, column).isin(level.heavy)), None
+        groups *= len(level.heavy)
+    return SlicePlan(key_names, order_names, hot, levels)
+
+
+def _cut(df: DataFrame, column: str, per_slice: int, total: int | None, most: int) -> Level | None:
+    """Bounds of about equal depth on a column, at most ``most`` slices."""
+
+    def wanted(rows: int) -> int:
+        return min(most, -(-rows // per_slice))
 
     # One pass gives the size and a coarse grid of quantiles; only a larger number of
     # slices than the grid has takes another pass.
-    grid = COARSE_SLICES if known_total is None else wanted(known_total)
-    total, quantiles = _quantiles(within, order_names[0], grid)
-    slices = wanted(total)
+    grid = COARSE_SLICES if total is None else wanted(total)
+    rows, quantiles = _quantiles(df, column, grid)
+    slices = wanted(rows)
     if slices > grid:
-        total, quantiles = _quantiles(within, order_names[0], slices)
+        rows, quantiles = _quantiles(df, column, slices)
     if slices < 2 or not quantiles:
-        return whole
+        return None
     step = max(1, (len(quantiles) + 1) // slices)
-    bounds = sorted({q for q in quantiles[step - 1 :: step] if abs(q) != float("inf")})
-    return SlicePlan(key_names, order_names, hot, bounds)
+    chosen = [q for q in quantiles[step - 1 :: step] if abs(q) != float("inf")]
+    heavy = sorted(q for q, n in Counter(chosen).items() if n > 1)
+    return Level(sorted({*chosen, *(math.nextafter(q, math.inf) for q in heavy)}), heavy)
 
 
-def _quantiles(df: DataFrame, order: str, parts: int) -> tuple[int, list[float]]:
-    """Row count and the ``parts - 1`` inner quantiles of the order column."""
+def _quantiles(df: DataFrame, column: str, parts: int) -> tuple[int, list[float]]:
+    """Row count and the ``parts - 1`` inner quantiles of an order column."""
     fractions = [i / parts for i in range(1, parts)] or [0.5]
-    row = df.select(as_number(df, order).alias("o")).agg(
+    row = df.select(as_number(df, column).alias("o")).agg(
         F.count(F.lit(1)).alias("n"), F.percentile_approx("o", fractions, 20 * parts).alias("q")
     ).head()
     return row["n"], row["q"] or []

@@ -49,7 +49,7 @@ def same(frame, columns, expected):
 
 def test_slices_are_ordered_and_level(frame, data):
     plan = plan_slices(frame, "k", "seq", PER_SLICE)
-    assert plan.sliced and len(plan.hot) * (len(plan.bounds) + 1) <= MAX_CARRY_ROWS
+    assert plan.sliced and len(plan.hot) * (len(plan.levels[0].bounds) + 1) <= MAX_CARRY_ROWS
     placed = plan.assign(frame).filter(f"{SLICE} > 0").groupBy("k", SLICE)
     sizes = placed.agg(F.count("*").alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi")).orderBy("k", SLICE).collect()
     hot = [r for r in sizes if r["k"] == "hot"]
@@ -242,3 +242,20 @@ def test_regroup_in_parts(frame, data):
     for p in parts:
         joined[p["key"]] += p["line"].split("\t")[1:]
     assert {k: [str(n) for n in sorted(v)] for k, v in groups.items()} == joined
+
+
+@pytest.mark.parametrize("keys", ["k", None])
+def test_heavy_order_values_are_split_further(spark, keys):
+    """One document holds most lines, and one of its lines most words."""
+    rng = random.Random(3)
+    places = [(rng.randrange(40), 0, 0, i) for i in range(150)] + [(7, rng.randrange(60), 1, i) for i in range(300)]
+    places += [(7, 11, 2, i) for i in range(500)]
+    rng.shuffle(places)
+    frame = rows(spark, [(*p, "hot") for p in places], "doc long, line long, kind long, pos long, k string")
+    order = ["doc", "line", "kind", "pos"]
+    plan = plan_slices(frame, keys, order, PER_SLICE)
+    assert len(plan.levels) == 4
+    sizes = plan.assign(frame).groupBy(SLICE).count().agg(F.max("count")).head()[0]
+    assert sizes <= 4 * PER_SLICE
+    placed = rolling.row_index(frame, order, keys, rows_per_slice=PER_SLICE)
+    same(placed, [*order, "position"], [(*p, i + 1) for i, p in enumerate(sorted(places))])

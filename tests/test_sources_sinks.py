@@ -64,23 +64,23 @@ def test_kafka_options():
     assert kafka_options("h:1", "t", start="latest", max_offsets=9)["maxOffsetsPerTrigger"] == "9"
 
 
-class Lifecycle(RichFunction):
-    def __init__(self, folder):
-        self.folder = folder
-
-    def open(self, partition):
-        self.log = [f"open {partition}"]
+def test_rich_function_lifecycle(spark, tmp_path):
+    # A local class, as test modules are not on the path of the workers.
+    class Lifecycle(RichFunction):
+        def __init__(self, folder):
+            self.folder = folder
 
-    def flat_map(self, batch):
-        yield batch
-        yield batch
+        def open(self, partition):
+            self.log = [f"open {partition}"]
 
-    def close(self):
-        with open(f"{self.folder}/{self.log[0][5:]}", "w") as out:
-            out.write(" ".join([*self.log, "close"]))
+        def flat_map(self, batch):
+            yield batch
+            yield batch
 
+        def close(self):
+            with open(f"{self.folder}/{self.log[0][5:]}", "w") as out:
+                out.write(" ".join([*self.log, "close"]))
 
-def test_rich_function_lifecycle(spark, tmp_path):
     folder = str(tmp_path)
     twice = rich_flat_map(sequence(spark, 1, 3, partitions=1), lambda: Lifecycle(folder), "v bigint")
     assert sorted(r["v"] for r in twice.collect()) == [1, 1, 2, 2, 3, 3]
