@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from keyrill.session import work_dir
 
 ROUNDS_PER_JOB = 64
+FLYING = "_flying"
 
 
 def iterate(
@@ -28,9 +29,9 @@ def iterate(
     rows that can lead to no more output, otherwise rows are still in flight after
     ``max_iterations`` and the call raises.
 
-    One job runs ``rounds_per_job`` rounds over a row at once, without a shuffle. Between
-    jobs the rows in flight are written to the shared folder, so the plan stays short and
-    a lost executor reads them back.
+    One job runs ``rounds_per_job`` rounds over a row at once, without a shuffle, and
+    writes its output and the rows in flight to the shared folder: the step runs once per
+    row and round, the plan stays short and a lost executor reads the rows back.
     """
     spark = df.sparkSession
     folder = work_dir(spark, "iterate")
@@ -46,15 +47,16 @@ def iterate(
         start = F.array(F.struct(*df.columns))
         turns = F.sequence(F.lit(1), F.lit(rounds))
         trail = current.select(F.reduce(turns, start, go_round).alias("trail"))
+        # A trail is never empty; the outer form keeps Spark from testing that by building it again.
+        seen = trail.select(F.posexplode_outer("trail").alias("turn", "row")).withColumn("flying", F.col("turn") == rounds)
+        kept = seen.filter(F.col("flying") | output(F.col("row"))).select("row.*", F.col("flying").cast("int").alias(FLYING))
+        path = f"{folder}/job={job}"
+        kept.write.partitionBy(FLYING).parquet(path)
+        written = spark.read.schema(kept.schema).parquet(path)
+        outputs.append(written.filter(F.col(FLYING) == 0).drop(FLYING))
+        current = written.filter(F.col(FLYING) == 1).drop(FLYING)
         done += rounds
         job += 1
-        seen = trail.select(F.explode(F.slice("trail", 1, rounds)).alias("row"))
-        outputs.append(seen.filter(output(F.col("row"))).select("row.*"))
-
-        flying = trail.filter(F.size("trail") > rounds).select(F.element_at("trail", -1).alias("row")).select("row.*")
-        path = f"{folder}/round={job}"
-        flying.write.parquet(path)
-        current = spark.read.schema(flying.schema).parquet(path)
         if current.isEmpty():
             return reduce(DataFrame.unionByName, outputs)
         if done >= max_iterations:

@@ -58,6 +58,14 @@ def labelled(df: DataFrame, label: str, columns: Sequence[str], out: str = "line
     return df.withColumn(out, F.concat(F.lit(f"{label}> ("), shown, F.lit(")")))
 
 
+def stamp_arrival(df: DataFrame, out: str = "arrived") -> DataFrame:
+    """Rows with their time of arrival in epoch milliseconds, for windows by the clock.
+
+    On a stream all rows of a micro-batch arrive at the same time.
+    """
+    return df.withColumn(out, F.unix_millis(F.current_timestamp()))
+
+
 def counted(df: DataFrame, name: str = "rows"):
     """``df`` with a row counter attached, and the counter.
 

@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from keyrill.operators.transforms import labelled
+
 
 def append_batches(path: str):
     """A ``foreachBatch`` function that writes rows with the time they were processed.
@@ -21,6 +23,12 @@ def append_batches(path: str):
     return write
 
 
+def to_console(stream: DataFrame, label: str | None = None, mode: str = "append"):
+    """A writer that prints rows on the driver, each under a label if one is given."""
+    shown = labelled(stream, label, stream.columns).select("line") if label else stream
+    return shown.writeStream.outputMode(mode).format("console").option("truncate", "false")
+
+
 def watermark_of(query) -> str | None:
     """The watermark after the last micro-batch of a query."""
     progress = query.lastProgress

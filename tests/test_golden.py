@@ -234,3 +234,22 @@ def test_regroup(spark):
 
 def test_labelled_output(spark):
     assert found(transforms.labelled(rows(spark, [("a", None)], "w string, n int"), "out", ["w", "n"]), "line") == [("out> (a,null)",)]
+
+
+def test_keys_by_name_position_and_expression(spark):
+    for keys in ["class", 2, F.upper("class"), ["school", "class"], [1, F.col("class")]]:
+        sums = rolling.running_sum(scores(spark, *F1A), keys, "seq", "score")
+        assert found(sums, "seq", "running_sum") == [(0, 50), (1, 105), (2, 50), (3, 95)]
+
+
+def test_arrival_stamp(spark):
+    stamped = transforms.stamp_arrival(scores(spark, *F1A))
+    assert stamped.first()["arrived"] > 1_700_000_000_000
+
+
+def test_parallelism(spark):
+    assert compose.set_parallelism(scores(spark, *F1A), 3, "class").select(F.spark_partition_id()).distinct().count() <= 3
+
+
+def test_client_side_rows(spark):
+    assert sum(r["v"] for r in sequence(spark, 1, 100).toLocalIterator(prefetchPartitions=True)) == 5050

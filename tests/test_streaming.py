@@ -12,7 +12,7 @@ from keyrill.catalog import batch, stream
 from keyrill.sources.collections import rows
 from keyrill.sources.counter import CounterSource
 from keyrill.sources.text import stream_lines
-from keyrill.sinks.streams import FileRowSink, append_batches, watermark_of
+from keyrill.sinks.streams import FileRowSink, append_batches, to_console, watermark_of
 from keyrill.streaming import processors
 from keyrill.streaming.harness import run_until_idle, start_to_parquet, state_settings, stream_table
 from keyrill.streaming.processors import keyed_state
@@ -160,3 +160,11 @@ def test_stream_counter_replays_its_offsets(spark):
     for part in source.partitions(middle, end):
         words = [w for rb in source.read(part) for w in rb.column("word").to_pylist()]
         assert words == ["word3", "word4"]
+
+
+def test_console(spark, sf_dir, tmp_path):
+    # The JVM prints past the capture of the test runner, so only the run is checked.
+    writer = to_console(stream_table(spark, sf_dir, "region"), "regions")
+    query = writer.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert query.lastProgress["sink"]["numOutputRows"] == 5
