@@ -114,10 +114,11 @@ def plan_slices(
         within = df.filter(F.xxhash64(*key_names).isin(hot))
 
     levels: list[Level] = []
-    groups = max(1, len(hot))
+    groups, numbers = max(1, len(hot)), 1
     for i, column in enumerate(order_names):
         level = _cut(within, column, per_slice, total, min(MAX_SLICES, MAX_CARRY_ROWS // groups))
-        if level is None:
+        numbers *= len(level.bounds) + 2 if level else 1
+        if level is None or numbers >= 1 << 63:
             break
         levels.append(level)
         if not level.heavy or i + 1 == len(order_names):
