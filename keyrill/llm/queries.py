@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keyrill.llm import chat, packing, quality
+from keyrill.llm import chat, packing, quality, simhash, suffix_dedup
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -18,6 +18,14 @@ def op1_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_read(spark, folder, "documents"), TOKENIZER, with_ids=False)
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.suffix_digest(_read(spark, folder, "documents"))
+
+
+def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.simhash_digest(_read(spark, folder, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_digest(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
 
@@ -26,6 +34,8 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.chat_digest(chat.with_probe(_read(spark, folder, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op7_quality_rules, op8_chat_format)}
+QUERIES = {f.__name__: f for f in (
+    op1_pattern_packing, op2_suffix_dedup, op6_simhash_dedup, op7_quality_rules, op8_chat_format,
+)}
 
 ORACLE: dict[str, str] = {}
