@@ -21,7 +21,6 @@ in a text are ordinary text; an empty table gives no rows. Extra columns are ign
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,31 +34,27 @@ from keyrill.llm.storage import materialize
 CAPACITY = 2048
 END_ID = 0
 PIECES_PER_SLOT = 65_536
-CACHED_WORDS = 400_000
 
-# A space with white space on both sides: the only kind at which a text cut at spaces
-# would be split into other words than as a whole.
-INNER_SPACE = re.compile(r"\s \s")
+# The word pattern of byte-level tokenizers.
+WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PROBE = "It's 3 o'clock,  naïve\n\n \tÈre ñ 北京 \u00a0x<|endoftext|> 😀 don't\x00!  "
 
 
-class Words(dict):
-    """Token bytes of a word with a space before it, filled as words are met."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, word: str) -> bytes:
-        found = self[word] = self.encode(" " + word)
-        return found
+def _byte_symbols() -> dict[str, int]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    symbols = {chr(b): b for b in shown}
+    hidden = [b for b in range(256) if b not in shown]
+    symbols.update({chr(256 + i): b for i, b in enumerate(hidden)})
+    return symbols
 
 
 class Encoder:
     """Token ids of a text as little-endian unsigned 32-bit bytes.
 
-    A byte-level tokenizer with the usual word pattern never joins text across a single
-    space, so its words are encoded one by one and remembered; other tokenizers, and texts
-    with longer runs of white space around a space, are encoded whole.
+    A tokenizer file with byte-level BPE, whose merges are in the order of their ids, is run by
+    tiktoken: it gives the same ids some four times faster. A probe text compares
+    the two at the start. Every other file runs as it is.
     """
 
     def __init__(self, path: str):
@@ -68,24 +63,35 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            kind = json.load(f)
-        pre = kind.get("pre_tokenizer") or {}
-        self.by_word = (
-            pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-            and not kind.get("normalizer")
-        )
-        self.words = Words(self.whole)
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            self.fast = self._by_rank(json.load(f))
+        if self.fast and self.fast.encode_ordinary(PROBE) != self._plain(PROBE):
+            self.fast = None
+
+    @staticmethod
+    def _by_rank(file: dict):
+        import tiktoken
+
+        pre, model = file.get("pre_tokenizer") or {}, file.get("model") or {}
+        if (
+            model.get("type") != "BPE" or pre.get("type") != "ByteLevel" or not pre.get("use_regex", True)
+            or pre.get("add_prefix_space") or file.get("normalizer") or model.get("dropout")
+        ):
+            return None
+        added = {t["content"] for t in file.get("added_tokens", ())}
+        symbols = _byte_symbols()
+        vocabulary = {t: i for t, i in model["vocab"].items() if t not in added}
+        merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        if [vocabulary.get(m) for m in merged] != list(range(256, 256 + len(merged))) or len(vocabulary) != 256 + len(merged):
+            return None
+        ranks = {bytes(symbols[c] for c in token): i for token, i in vocabulary.items()}
+        return tiktoken.Encoding("packing", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _plain(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def __call__(self, text: str) -> bytes:
-        if not self.by_word or INNER_SPACE.search(text):
-            return self.whole(text)
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-        first, *rest = text.split(" ")
-        return self.whole(first) + b"".join(map(self.words.__getitem__, rest))
+        ids = self.fast.encode_ordinary(text) if self.fast else self._plain(text)
+        return np.array(ids, "<u4").tobytes()
 
 
 def encoder(path: str) -> Encoder:
