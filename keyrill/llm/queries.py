@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keyrill.llm import chat, packing, quality, simhash, suffix_dedup
+from keyrill.llm import chat, mixing, packing, quality, sharding, simhash, suffix_dedup
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -22,6 +22,10 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.suffix_digest(_read(spark, folder, "documents"))
 
 
+def op3_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_digest(_read(spark, folder, "documents"))
+
+
 def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_digest(_read(spark, folder, "documents"))
 
@@ -34,8 +38,13 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.chat_digest(chat.with_probe(_read(spark, folder, "conversations")))
 
 
+def op9_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_digest(_read(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_pattern_packing, op2_suffix_dedup, op6_simhash_dedup, op7_quality_rules, op8_chat_format,
+    op1_pattern_packing, op2_suffix_dedup, op3_pfair_mixing, op6_simhash_dedup, op7_quality_rules,
+    op8_chat_format, op9_extendible_sharding,
 )}
 
 ORACLE: dict[str, str] = {}
