@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keyrill.llm import chat, mixing, packing, quality, sharding, simhash, suffix_dedup
+from keyrill.llm import chat, langid, mixing, packing, quality, sharding, simhash, spotsigs, suffix_dedup, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -26,6 +26,14 @@ def op3_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_digest(_read(spark, folder, "documents"))
 
 
+def op4_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.spotsigs_digest(_read(spark, folder, "documents"))
+
+
+def op5_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.warc_digest(_read(spark, folder, "pages"))
+
+
 def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_digest(_read(spark, folder, "documents"))
 
@@ -42,9 +50,13 @@ def op9_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_digest(_read(spark, folder, "documents"))
 
 
+def op10_kernel_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.language_digest(_read(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_pattern_packing, op2_suffix_dedup, op3_pfair_mixing, op6_simhash_dedup, op7_quality_rules,
-    op8_chat_format, op9_extendible_sharding,
+    op1_pattern_packing, op2_suffix_dedup, op3_pfair_mixing, op4_spotsigs, op5_warc_bundles, op6_simhash_dedup,
+    op7_quality_rules, op8_chat_format, op9_extendible_sharding, op10_kernel_language,
 )}
 
 ORACLE: dict[str, str] = {}
