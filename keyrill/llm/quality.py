@@ -192,13 +192,15 @@ def cutoffs(
         .groupBy(F.col(key).alias("_key")).agg((F.min("quality") == 1).alias("_good"))
     )
     tried = [F.struct(F.lit(r.name).alias("rule"), _first_exceeded(r).alias("step")) for r in rules]
-    counted = (
+    counted = materialize(
         measured.filter(~base_failed())
         .select(F.col(key), F.col(stratum).alias("_stratum"), F.explode(F.array(*tried)).alias("t"))
         .join(verdicts, F.col(key) == F.col("_key"))
         .groupBy("_stratum", F.col("t.rule").alias("rule"), F.col("t.step").alias("step"))
-        .agg(F.count_if("_good").alias("good"), F.count_if(~F.col("_good")).alias("bad"))
+        .agg(F.count_if("_good").alias("good"), F.count_if(~F.col("_good")).alias("bad")),
+        "quality-counts",
     )
+    tests = max(1, counted.select("_stratum").distinct().count() * len(rules))
     grid = F.array(*[
         F.struct(F.lit(r.name).alias("rule"), F.lit(i).alias("step"), F.lit(c).alias("cutoff"), F.lit(0).alias("good"), F.lit(0).alias("bad"))
         for r in rules for i, c in enumerate(r.cutoffs)
@@ -218,10 +220,8 @@ def cutoffs(
         })
         .filter(F.col("cutoff").isNotNull())
     )
-    tests = every.select("_stratum", "rule").distinct().agg(F.count(F.lit(1)).alias("tests"))
     proven = (
-        steps.join(F.broadcast(tests))  # one row
-        .withColumn("fails", (binomial_tail(F.col("rejected"), F.col("n"), per_rule) > F.lit(level) / F.col("tests")).cast("int"))
+        steps.withColumn("fails", (binomial_tail(F.col("rejected"), F.col("n"), per_rule) > level / tests).cast("int"))
         .withColumn("failed", F.max("fails").over(walk))
         .filter("failed = 0")
     )
