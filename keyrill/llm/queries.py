@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from keyrill.llm import chat, langid, mixing, packing, quality, sharding, simhash, spotsigs, suffix_dedup, warc
+from keyrill.llm.oracle import ORACLE  # noqa: F401
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -58,5 +59,3 @@ QUERIES = {f.__name__: f for f in (
     op1_pattern_packing, op2_suffix_dedup, op3_pfair_mixing, op4_spotsigs, op5_warc_bundles, op6_simhash_dedup,
     op7_quality_rules, op8_chat_format, op9_extendible_sharding, op10_kernel_language,
 )}
-
-ORACLE: dict[str, str] = {}

@@ -69,24 +69,17 @@ def _runs(length: int):
                     end += 1
                 block = texts[begin:end]
                 ends = np.cumsum([len(t) for t in block])
-                start, owned, anchor, again = suffixes.anchors(np.frombuffer(b"".join(block), np.uint8), ends, length)
+                start, owned, anchor = suffixes.anchors(np.frombuffer(b"".join(block), np.uint8), ends, length)
                 of = np.searchsorted(ends, start, "right")
                 lists = np.searchsorted(of, np.arange(len(block) + 1)).astype(np.int32)
                 start = start - (ends[of] - np.array([len(t) for t in block], np.int64)[of])
 
-                again_lists = np.concatenate([[0], np.cumsum(again)])[lists].astype(np.int32)
-
-                def listed(values, kind, lists=lists):
-                    return pa.ListArray.from_arrays(pa.array(lists), pa.array(values, kind))
+                def listed(values, lists=lists):
+                    return pa.ListArray.from_arrays(pa.array(lists), pa.array(values, pa.int64()))
 
+                ids = [batch.column(n).slice(begin, end - begin) for n in ("_u", "_d", "_h")]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("_d").slice(begin, end - begin), batch.column("_h").slice(begin, end - begin),
-                        listed(anchor.view(np.int64), pa.int64()), listed(start.astype(np.int32), pa.int32()),
-                        listed(owned.astype(np.int32), pa.int32()),
-                        listed(anchor[again].view(np.int64), pa.int64(), again_lists),
-                    ],
-                    names=["_d", "_h", "anchor", "start", "owned", "again"],
+                    [*ids, listed(anchor), listed(start << 8 | owned)], names=["_u", "_d", "_h", "anchor", "place"]
                 )
                 begin = end
 
@@ -100,9 +93,9 @@ def _contexts(length: int):
         for batch in batches:
             texts = _strings(batch.column("text"))
             runs = batch.column("runs")
-            inner = runs.flatten()
-            anchor, start, owned, hot = (inner.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+            anchor, place = (runs.flatten().field(i).to_numpy(zero_copy_only=False) for i in range(2))
             of = np.repeat(np.arange(len(texts)), runs.value_lengths().to_numpy(zero_copy_only=False))
+            start, owned, hot = place >> 9, place >> 1 & 255, (place & 1).astype(bool)
             for begin in range(0, len(of), 20_000):
                 part = slice(begin, begin + 20_000)
                 rows = pa.array(of[part])
@@ -149,7 +142,9 @@ def _block_spans(anchor, d, h, start, context: list[bytes], length: int):
 
     sorted_at = suffixes.sort_suffixes(text, wanted, length)
     groups = np.flatnonzero(suffixes.common_prefix(text, sorted_at, length) < length)
-    back = np.searchsorted(wanted, sorted_at)
+    index_of = np.empty(len(text), np.int32)
+    index_of[wanted] = np.arange(len(wanted))
+    back = index_of[sorted_at]
     at = earliest[of[back]] + within[back]
     least = np.minimum.reduceat(at, groups) if len(at) else at
     repeated = np.zeros(len(wanted), bool)
@@ -179,7 +174,7 @@ def _sorted_blocks(length: int, block_bytes: int):
         def spans(table: pa.Table) -> pa.RecordBatch:
             cols = {n: table.column(n).to_numpy() for n in ("anchor", "_d", "_h", "start")}
             row, begin, end = _block_spans(
-                cols["anchor"], cols["_d"], cols["_h"], cols["start"].astype(np.int64),
+                cols["anchor"], cols["_d"], cols["_h"], cols["start"],
                 table.column("bytes").to_pylist(), length,
             )
             return pa.RecordBatch.from_arrays(
@@ -231,27 +226,30 @@ def _string_digests(length: int):
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Rows (_d, _h, spans): the byte spans [begin, end) of repeats in each document that has any; they may overlap."""
-    texts = docs.select("_d", "_h", "text")
     runs = materialize(
-        texts.mapInArrow(_runs(length), "_d long, _h long, anchor array<long>, start array<int>, owned array<int>, again array<long>"),
+        docs.select(F.monotonically_increasing_id().alias("_u"), "_d", "_h", "text")
+        .mapInArrow(_runs(length), "_u long, _d long, _h long, anchor array<long>, place array<long>"),
         "suffix-runs",
     )
-    # A gram that stands twice in one run counts twice.
     repeated = materialize(
-        runs.select(F.explode(F.concat("anchor", "again")).alias("anchor"))
-        .groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+        runs.select(F.explode("anchor").alias("anchor")).groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1").select("anchor", (F.col("n") > hot).alias("hot")),
         "suffix-anchors",
     )
+    # A run as its anchor and one number: start, number of strings, and whether the anchor is hot.
     flagged = (
-        runs.select("_d", "_h", F.explode(F.arrays_zip("anchor", "start", "owned")).alias("r"))
-        .select("_d", "_h", F.col("r.anchor").alias("anchor"), F.col("r.start").alias("start"), F.col("r.owned").alias("owned"))
+        runs.select("_u", F.explode(F.arrays_zip("anchor", "place")).alias("r"))
+        .select("_u", F.col("r.anchor").alias("anchor"), F.col("r.place").alias("place"))
         .join(repeated, "anchor")
-        .groupBy("_d", "_h").agg(F.collect_list(F.struct("anchor", "start", "owned", "hot")).alias("runs"))
+        .select("_u", "anchor", (2 * F.col("place") + F.col("hot").cast("int")).alias("place"))
+        .groupBy("_u").agg(F.collect_list(F.struct("anchor", "place")).alias("runs"))
+        .join(runs.groupBy("_d", "_h").agg(F.min("_u").alias("_u")), "_u")  # equal rows have the same runs
+        .select("_d", "_h", "runs")
     )
-    contexts = (
-        texts.join(flagged, ["_d", "_h"]).select("_d", "_h", "text", "runs")
-        .mapInArrow(_contexts(length), "anchor long, _d long, _h long, start int, bytes binary, hot boolean")
+    # The texts are shuffled here and once more where spans are applied, by the same keys and with
+    # the same columns, so that one exchange serves both.
+    contexts = docs.join(flagged, ["_d", "_h"]).mapInArrow(
+        _contexts(length), "anchor long, _d long, _h long, start long, bytes binary, hot boolean"
     )
     if repeated.filter("hot").limit(1).count():
         contexts = materialize(contexts, "suffix-contexts")
@@ -332,10 +330,9 @@ def _apply(names: list[str], digest: bool):
 
 def suffix_digest(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
     """A row per document: its bytes, how many of them go, in how many spans, and a digest of the rest."""
-    marked = _identified(docs.select("doc_id", "text"))
+    marked = _identified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     spans = repeated_spans(marked, length, **options)
-    joined = marked.select("_d", "_h", "text", "doc_id").join(spans, ["_d", "_h"], "left")
-    return joined.select(F.col("doc_id").cast("long"), "text", "spans").mapInArrow(
+    return marked.join(spans, ["_d", "_h"], "left").mapInArrow(
         _apply([], True), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -350,6 +347,6 @@ def dedup(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
     spans = repeated_spans(marked, length, **options)
     joined = marked.join(spans, ["_d", "_h"], "left")
     kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
-    return joined.select(*names, "spans").mapInArrow(
+    return joined.mapInArrow(
         _apply(names, False), f"{kinds}, n_bytes long, n_removed long, n_spans long"
     )

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import numpy as np
 
-GRAM = 24  # bytes under one hash; at least this and 16 more must fit into a string
+GRAM = 24  # bytes under one hash, fewer than a string has
+PLACES = (1 << 31) - 1  # more than the bytes of any text
 
 _U = np.uint64
 
@@ -39,20 +40,22 @@ def _window_minima(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - rest], h[rest:]) if rest else h
 
 
-def anchors(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of neighbouring strings of ``length`` bytes with the same anchor.
+def anchors(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of neighbouring strings of ``length`` bytes that share their anchor's place.
 
     The anchor of a string is the smallest hash among its grams, so equal strings have
     equal anchors wherever they stand. ``bounds`` are the document ends in ``data``; no
-    string crosses one. Gives (first start, number of starts, anchor, whether its gram stands
-    more than once in the run) of each run; runs are at most as long as a string has grams.
+    string crosses one. Gives (first start, number of starts, anchor) of each run.
+
+    For the comparison the lower half of a hash gives way to its place, so of equal grams the
+    first is taken: two equal strings that overlap have two places, and so are in two runs.
     """
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none, none.astype(np.uint64), none.astype(bool)
-    width = length - GRAM + 1
+        return none, none, none
     hashes = _gram_hashes(data)
-    smallest = _window_minima(hashes, width)
+    ranked = (hashes & ~_U(PLACES)) | np.arange(len(hashes), dtype=np.uint64)
+    smallest = _window_minima(ranked, length - GRAM + 1)
     edges = np.zeros(len(data) + 1, np.int32)
     begins = np.concatenate([[0], bounds[:-1]])
     long_enough = bounds - begins >= length
@@ -60,25 +63,13 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarr
     edges[bounds[long_enough] - length + 1] -= 1
     starts = np.flatnonzero(np.cumsum(edges)[: len(smallest)] > 0)
     if not len(starts):
-        return none, none, none.astype(np.uint64), none.astype(bool)
+        return none, none, none
     value = smallest[starts]
     new = np.ones(len(starts), bool)
     new[1:] = (value[1:] != value[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(new)
-    sizes = np.diff(np.append(first, len(starts)))
-    parts = -(-sizes // width)  # a repetitive text keeps its anchor for long; cut such runs
-    at = np.repeat(first, parts) + width * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
-    sizes = np.diff(np.append(at, len(starts)))
-    start, size, anchor = starts[at], np.minimum(sizes, width), value[at]
-    again = np.zeros(len(at), bool)
-    reach = np.arange(2 * width - 1)
-    for begin in range(0, len(at), 4096):
-        part = slice(begin, begin + 4096)
-        places = start[part, None] + reach
-        inside = reach < (size[part] + width - 1)[:, None]
-        same = hashes[np.minimum(places, len(hashes) - 1)] == anchor[part, None]
-        again[part] = (same & inside).sum(1) > 1
-    return start, size, anchor, again
+    places = (value[first] & _U(PLACES)).astype(np.int64)
+    return starts[first], np.diff(np.append(first, len(starts))), hashes[places].view(np.int64)
 
 
 def _words(text: np.ndarray) -> np.ndarray:
