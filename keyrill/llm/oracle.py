@@ -69,7 +69,7 @@ verdicts AS (
 grid(rule, step, cutoff) AS (VALUES {grid}),
 walk AS (
   SELECT lang, rule, step, cutoff, count(*) AS total, count_if(good) AS n,
-    count_if(good AND value > cutoff) AS rejected, count_if(NOT good AND value > cutoff) AS caught
+    CAST(count_if(good AND value > cutoff) AS BIGINT) AS rejected, CAST(count_if(NOT good AND value > cutoff) AS BIGINT) AS caught
   FROM judged JOIN grid USING (rule) GROUP BY lang, rule, step, cutoff
 ), tests AS (SELECT greatest(1, count(DISTINCT coalesce(lang, chr(0)))) * {len(rules)} AS tests FROM judged),
 tested AS (
