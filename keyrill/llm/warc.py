@@ -235,7 +235,6 @@ def _frames(data: bytes) -> Iterator[bytes]:
     for packed, whole in read_seek_table(data):
         yield expander.decompress(data[at : at + packed], max_output_size=whole)
         at += packed
-        at += packed
 
 
 def _read(with_payload: bool):
