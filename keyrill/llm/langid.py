@@ -68,8 +68,8 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def sample(labelled: DataFrame, most: int = SAMPLE) -> list[tuple[str, np.ndarray]]:
-    """Languages and presence flags of at most ``most`` labelled texts (lang, text), in a fixed order."""
+def sample(labelled: DataFrame, most: int = SAMPLE) -> list[tuple[str, bytes]]:
+    """Languages and packed presence flags of at most ``most`` labelled texts (lang, text), in a fixed order."""
     hashed = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", F.xxhash64("text").alias("h"))
     languages = hashed.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
     if languages > MOST_LANGUAGES:
@@ -85,24 +85,30 @@ def sample(labelled: DataFrame, most: int = SAMPLE) -> list[tuple[str, np.ndarra
         .groupBy("lang", "h").agg(F.first("text").alias("text"))
     )
     rows = texts.select("lang", "text", "h").orderBy("h", "lang").select("lang", "text").mapInArrow(_bits, "lang string, bits binary").collect()
-    return [(r["lang"], np.unpackbits(np.frombuffer(r["bits"], np.uint8)).astype(bool)) for r in rows]
+    return [(r["lang"], bytes(r["bits"])) for r in rows]
 
 
-def train(rows: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> tuple[list[str], np.ndarray]:
+def _unit(packed: list[bytes]) -> np.ndarray:
+    """Presence rows of length one."""
+    flags = np.unpackbits(np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1), axis=1).astype(np.float32)
+    return flags / np.sqrt(flags.sum(1, keepdims=True))
+
+
+def train(rows: list[tuple[str, bytes]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> tuple[list[str], np.ndarray]:
     """Languages and the matrix (places, languages) that scores normalized presence rows."""
     languages = sorted({lang for lang, _ in rows})
     if not rows:
         return languages, np.zeros((SPACE, 0), np.float32)
-    flags = np.array([f for _, f in rows], np.float32)
-    unit = flags / np.sqrt(flags.sum(1, keepdims=True))
     of = np.array([languages.index(lang) for lang, _ in rows])
     each = max(1, landmarks // len(languages))
     chosen = np.concatenate([np.flatnonzero(of == k)[:each] for k in range(len(languages))])
-    marks = unit[chosen]
+    packed = [bits for _, bits in rows]
+    marks = _unit([packed[i] for i in chosen])
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = values > 1e-8 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # the Nyström map of kernel rows
-    features = (unit @ marks.T).astype(np.float64) @ root
+    kernels = [_unit(packed[i : i + BATCH]) @ marks.T for i in range(0, len(packed), BATCH)]  # a batch of wide rows at a time
+    features = np.concatenate(kernels).astype(np.float64) @ root
     # Each language weighs the same, whatever its number of rows.
     weight = 1 / np.bincount(of, minlength=len(languages))[of]
     target = (of[:, None] == np.arange(len(languages))).astype(np.float64)

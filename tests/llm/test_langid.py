@@ -41,8 +41,8 @@ def test_edge_cases(spark, docs, rows, empty):
 def test_scores_are_the_kernel_ridge(spark):
     """The folded matrix gives what kernels to the landmarks, mapped and weighted, give."""
     texts = [("en", "the cat sat"), ("en", "the dog ran"), ("de", "der hund lief"), ("de", "die katze sass")]
-    flags = [(lang, langid.presence(t)) for lang, t in texts]
-    languages, matrix = langid.train(flags, ridge=1e-6)
-    scores = np.array([f / np.sqrt(f.sum()) for _, f in flags]) @ matrix
+    flags = [langid.presence(t) for _, t in texts]
+    languages, matrix = langid.train([(lang, np.packbits(f).tobytes()) for (lang, _), f in zip(texts, flags, strict=True)], ridge=1e-6)
+    scores = np.array([f / np.sqrt(f.sum()) for f in flags]) @ matrix
     assert [languages[k] for k in scores.argmax(1)] == [lang for lang, _ in texts]
     assert np.allclose(scores, [[lang == k for k in languages] for lang, _ in texts], atol=1e-3)
