@@ -60,7 +60,7 @@ def test_signatures(spark):
 
 def test_similar(docs, rows):
     prints = spotsigs.fingerprints(docs)
-    pairs, members = spotsigs.similar(prints, 0.4)
+    pairs, members = spotsigs.similar(prints, 0.3)
     sets = {}
     for r in prints.collect():
         sets.setdefault(tuple(r.signatures), set()).add(r.doc_id)
@@ -72,7 +72,7 @@ def test_similar(docs, rows):
     expected = {
         frozenset((min(sets[a]), min(sets[b])))
         for i, a in enumerate(keys) for b in keys[i + 1 :]
-        if len(set(a) & set(b)) >= 0.4 * len(set(a) | set(b))
+        if len(set(a) & set(b)) >= 0.3 * len(set(a) | set(b))
     }
     assert {frozenset((min(of[r.a]), min(of[r.b]))) for r in pairs.collect()} == expected
     assert expected
