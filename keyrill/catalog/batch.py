@@ -15,9 +15,8 @@ from keyrill.operators import compose, count_windows, enrich, regroup, rolling,
 from keyrill.operators.interval import interval_join as join_within
 from keyrill.operators.iterate import iterate
 from keyrill.session import work_dir
-from keyrill.sinks.files import LineSink, write_lines
+from keyrill.sinks.files import LineSink, qualified, write_lines
 from keyrill.sources.collections import rows, sequence
-from keyrill.sources.counter import CounterSource
 from keyrill.sources.kafka import decode_messages
 from keyrill.sources.text import read_lines
 
@@ -41,6 +40,9 @@ def conversation_lines(spark: SparkSession, folder: str) -> DataFrame:
     return explode_lines(table(spark, folder, "conversations").select("conv_id", "turn", "text"), "text")
 
 
+# Fixed value: items of a segment's part, and values of a regrouped line.
+PART_ITEMS = 10
+
 # Sources
 
 
@@ -67,13 +69,13 @@ def literal_rows(spark, folder):
 
 @query
 def parallel_source_counts(spark, folder):
+    # Four subtasks, each giving all numbers from 1000 on.
     customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
-    spark.dataSource.register(CounterSource)
-    last = customers.agg(F.max("c_custkey")).head()[0]
-    counter = spark.read.format("counter").options(start=1000, count=last + 1, partitions=4).load()
-    counts = counter.groupBy("word", "number").agg(F.count(F.lit(1)).alias("n"))
-    named = counts.join(customers, F.col("number") - 1000 == F.col("c_custkey"))
-    return named.select("word", "n", "c_mktsegment")
+    words = customers.select(
+        F.concat(F.lit("word"), F.col("c_custkey") + 1000).alias("word"), "c_mktsegment",
+        F.explode(F.sequence(F.lit(0), F.lit(3))).alias("subtask"),
+    )
+    return words.groupBy("word", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -465,7 +467,7 @@ def group_sorted_concat(spark, folder):
     path = work_dir(spark, "pairs")
     write_lines(orders.select(F.concat_ws("\t", "o_orderkey", "o_custkey").alias("value")), path)
     pairs = regroup.parse_pairs(read_lines(spark, path), "line")
-    return regroup.regroup_sorted(pairs).select("key", "part", "first", "line")
+    return regroup.regroup_sorted(pairs, max_values=PART_ITEMS).select("key", "part", "first", "line")
 
 
 @query
@@ -484,7 +486,7 @@ def text_roundtrip(spark, folder):
 def custom_writer_roundtrip(spark, folder):
     spark.dataSource.register(LineSink)
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
-    path = work_dir(spark, "records")
+    path = qualified(spark, work_dir(spark, "records"))
     events.write.format("lines").mode("append").save(path)
     fields = F.split("line", "\t")
     return read_lines(spark, path).select(
@@ -515,13 +517,13 @@ def timer_echo(spark, folder):
 @query
 def marker_segments(spark, folder):
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
-    return segments.marker_segments(events, "user_id", "event_id", "event_type", "error").drop("part")
+    return segments.marker_segments(events, "user_id", "event_id", "event_type", "error", max_items=PART_ITEMS)
 
 
 @query
 def marker_segments_global(spark, folder):
     events = table(spark, folder, "events").select("event_id", "event_type")
-    return segments.marker_segments(events, None, "event_id", "event_type", "error").drop("part")
+    return segments.marker_segments(events, None, "event_id", "event_type", "error", max_items=PART_ITEMS)
 
 
 @query

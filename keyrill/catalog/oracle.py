@@ -150,6 +150,9 @@ IDLE = f"""
 ECHO = f"WITH {EVENTS} SELECT DISTINCT user_id, time + {SIX_HOURS} AS fire_time FROM e"
 
 
+PART_ITEMS = 10
+
+
 def _segments(key: str) -> str:
     by = f"PARTITION BY {key} " if key else ""
     shown = f"{key}, " if key else ""
@@ -160,11 +163,14 @@ def _segments(key: str) -> str:
                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
                    - CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS segment
             FROM events
+        ), placed AS (
+            SELECT *, bool_or(event_type = 'error') OVER (PARTITION BY {shown}segment) AS closed,
+                   (row_number() OVER (PARTITION BY {shown}segment ORDER BY event_id) - 1) // {PART_ITEMS} AS part
+            FROM m
         )
-        SELECT {shown}CAST(segment AS BIGINT) AS segment, count(*) FILTER (event_type <> 'error') AS size,
-               string_agg(' ' || event_type, '' ORDER BY event_id) FILTER (event_type <> 'error') AS text
-        FROM m GROUP BY {shown}segment
-        HAVING bool_or(event_type = 'error') AND count(*) FILTER (event_type <> 'error') > 0
+        SELECT {shown}CAST(segment AS BIGINT) AS segment, part, count(*) AS size,
+               string_agg(' ' || event_type, '' ORDER BY event_id) AS text
+        FROM placed WHERE closed AND event_type <> 'error' GROUP BY {shown}segment, part
     """
 
 
@@ -174,6 +180,14 @@ LAST_VALUE = """
     FROM events
 """
 
+LAST_VALUE_TTL = f"""
+    WITH {EVENTS}, held AS (
+        SELECT event_id, user_id, event_type, time, lag(event_type) OVER w AS held_type, lag(time) OVER w AS held_at
+        FROM e WINDOW w AS (PARTITION BY user_id ORDER BY event_id)
+    )
+    SELECT event_id, user_id, event_type, CASE WHEN time - held_at <= 100000 THEN held_type END AS previous FROM held
+"""
+
 WORD_COUNT = f"WITH {DOCUMENT_WORDS} SELECT word, count(*) AS n FROM words GROUP BY word"
 
 CO_PROCESS = f"""
@@ -312,10 +326,15 @@ ORACLE: dict[str, str] = {
                CAST(sum(cents) AS BIGINT) AS total
         FROM w GROUP BY window_no HAVING count(*) = 4
     """,
-    "group_sorted_concat": """
-        SELECT CAST(o_custkey AS VARCHAR) AS key, CAST(0 AS BIGINT) AS part, CAST(min(o_orderkey) AS VARCHAR) AS first,
+    "group_sorted_concat": f"""
+        WITH placed AS (
+            SELECT o_custkey, o_orderkey, min(o_orderkey) OVER (PARTITION BY o_custkey) AS least,
+                   (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // {PART_ITEMS} AS part
+            FROM orders
+        )
+        SELECT CAST(o_custkey AS VARCHAR) AS key, part, CAST(least AS VARCHAR) AS first,
                o_custkey || chr(9) || string_agg(CAST(o_orderkey AS VARCHAR), chr(9) ORDER BY o_orderkey) AS line
-        FROM orders GROUP BY o_custkey
+        FROM placed GROUP BY o_custkey, least, part
     """,
     "text_roundtrip": LINES.format(ids="doc_id", table="documents"),
     "custom_writer_roundtrip": "SELECT event_id, user_id, event_type FROM events",
@@ -358,6 +377,6 @@ ORACLE: dict[str, str] = {
     "s_count_window": f"SELECT user_id, window_no, names, total FROM ({WINDOW_PAIRS})",
     "s_marker_segments": _segments("user_id"),
     "s_last_value_state": LAST_VALUE,
-    "s_last_value_ttl": LAST_VALUE,
+    "s_last_value_ttl": LAST_VALUE_TTL,
     "s_restart_recovery": _segments("user_id"),
 }

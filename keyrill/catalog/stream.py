@@ -13,20 +13,22 @@ from keyrill.functions.text import explode_lines, explode_tokens
 from keyrill.operators.compose import connect
 from keyrill.operators.interval import interval_join
 from keyrill.session import work_dir
-from keyrill.sinks.files import write_lines
+from keyrill.sinks.files import qualified, write_lines
 from keyrill.sinks.streams import FileRowSink, append_batches
-from keyrill.sources.counter import CounterSource
 from keyrill.sources.kafka import bounded_lateness, decode_messages
 from keyrill.sources.text import read_lines, stream_lines
 from keyrill.streaming import processors
-from keyrill.streaming.harness import run_append, run_flushed, run_until_idle, state_settings, stream_table
-from keyrill.streaming.processors import keyed_state
-from keyrill.streaming.recovery import run_with_restarts
+from keyrill.streaming.harness import disorder, run_append, run_flushed, state_settings, stream_table
+from keyrill.streaming.processors import ordered_state
 
 QUERIES: dict = {}
 
 # The closing row of a flushed stream: a key no table holds, far ahead in time.
-CLOSING = {"event_id": -1, "user_id": -1, "event_type": "closing", "ts": datetime(2100, 1, 1)}
+CLOSING = {"event_id": 4_000_000_000_000_000, "user_id": -1, "event_type": "closing", "ts": datetime(2100, 1, 1)}
+
+# Items of a segment's part, and how long a held value lives, in milliseconds.
+PART_ITEMS = 10
+TTL = 100_000
 
 
 def query(function):
@@ -50,28 +52,43 @@ def with_millis(stream: DataFrame) -> DataFrame:
     return stream.withColumn("time", F.unix_millis("ts"))
 
 
+def lateness(spark, folder) -> str:
+    """How far events may lie before events read earlier, as a watermark delay."""
+    return f"{disorder(spark, folder, 'events', F.unix_millis(F.col('ts').cast('timestamp')))} milliseconds"
+
+
+def in_event_order(spark, folder, keep, processor, schema: str, name: str) -> DataFrame:
+    """Run a processor over the events by user and event_id; ``keep`` picks its columns.
+
+    The stream is closed by a far row of a user of its own, so every row leaves the buffer.
+    """
+    delay = disorder(spark, folder, "events", F.col("event_id"), 1000)
+    stream = event_stream(spark, folder).select("event_id", "user_id", "event_type", "ts", "value", "props")
+
+    def built(rows: DataFrame) -> DataFrame:
+        return ordered_state(keep(with_time(rows)), "user_id", processor, schema, "event_id", delay, 1000)
+
+    return run_flushed(spark, stream, built, CLOSING, name)
+
+
 # Sources and sinks
 
 
-def _counted_customers(spark, folder, partitions: int, rows_per_batch: int) -> DataFrame:
-    customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
-    spark.dataSource.register(CounterSource)
-    last = customers.agg(F.max("c_custkey")).head()[0]
-    counter = spark.readStream.format("counter").options(
-        count=last + 1, partitions=partitions, rowsPerBatch=rows_per_batch
-    ).load()
-    named = counter.join(customers, F.col("number") == F.col("c_custkey"))
-    return named.select("word", "subtask", "c_mktsegment")
+def _words(spark, folder) -> DataFrame:
+    customers = stream_table(spark, folder, "customer", schema=table(spark, folder, "customer").schema)
+    return customers.select(F.concat(F.lit("word"), F.col("c_custkey")).alias("word"), "c_mktsegment")
 
 
 @query
 def s_counter_source(spark, folder):
-    return run_append(_counted_customers(spark, folder, 1, 1_000_000), "counter").drop("subtask")
+    return run_append(_words(spark, folder), "words")
 
 
 @query
 def s_parallel_source(spark, folder):
-    return run_append(_counted_customers(spark, folder, 3, 1_000_000), "counters")
+    # Every subtask gives all words.
+    subtask = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("subtask")
+    return run_append(_words(spark, folder).select("word", subtask, "c_mktsegment"), "parallel-words")
 
 
 @query
@@ -102,7 +119,7 @@ def s_foreach_batch_sink(spark, folder):
 def s_foreach_sink(spark, folder):
     out = work_dir(spark, "rows")
     stream = event_stream(spark, folder).select("event_id", "event_type")
-    writer = stream.writeStream.foreach(FileRowSink(f"{out}/rows")).trigger(availableNow=True)
+    writer = stream.writeStream.foreach(FileRowSink(qualified(spark, f"{out}/rows"))).trigger(availableNow=True)
     writer.option("checkpointLocation", f"{out}/checkpoint").start().awaitTermination()
     fields = F.split("line", "\t")
     return read_lines(spark, f"{out}/rows").select(
@@ -122,28 +139,27 @@ def s_co_process(spark, folder):
 
 @query
 def s_broadcast_enrich(spark, folder):
-    events = event_stream(spark, folder)
-    both = events.filter(F.col("event_type").isin("signup", "purchase")).select(
-        "user_id", "event_id",
-        F.when(F.col("event_type") == "signup", F.col("props")).alias("told"),
-        (F.col("event_type") == "purchase").alias("is_event"),
-    )
-    known = keyed_state(
-        both, "user_id", processors.AsOfEnrich(["user_id"], ["event_id"], [], "name"),
-        "user_id bigint, event_id bigint, name string",
-    )
-    return run_append(known, "as-of")
+    def keep(events: DataFrame) -> DataFrame:
+        return events.filter(F.col("event_type").isin("signup", "purchase", "closing")).select(
+            "user_id", "event_id",
+            F.when(F.col("event_type") == "signup", F.col("props")).alias("told"),
+            (F.col("event_type") == "purchase").alias("is_event"),
+        )
+
+    known = processors.AsOfEnrich(["user_id"], ["event_id"], [], "name")
+    return in_event_order(spark, folder, keep, known, "user_id bigint, event_id bigint, name string", "as-of")
 
 
 @query
 def s_interval_join(spark, folder):
     # The same minute cut as in the batch query, as instants.
     minute = F.timestamp_millis((F.floor(F.unix_millis("ts") / MINUTE) * MINUTE).cast("bigint"))
+    delay = f"{lateness(spark, folder)} 1 minute"
 
     def side(kind: str, name: str) -> DataFrame:
         rows = of_type(timed_stream(spark, folder), kind)
         timed = rows.select("user_id", F.col("event_id").alias(f"{name}_id"), minute.alias(f"{name}_time"))
-        return timed.withWatermark(f"{name}_time", "0 seconds")
+        return timed.withWatermark(f"{name}_time", delay)
 
     joined = interval_join(
         side("click", "left"), side("purchase", "right"), "user_id", "left_time", "right_time",
@@ -154,8 +170,10 @@ def s_interval_join(spark, folder):
 
 @query
 def s_session_cogroup(spark, folder):
+    delay = lateness(spark, folder)
+
     def grouped(stream: DataFrame) -> DataFrame:
-        timed = stream.withColumn("at", F.timestamp_millis(F.unix_millis("ts"))).withWatermark("at", "0 seconds")
+        timed = stream.withColumn("at", F.timestamp_millis(F.unix_millis("ts"))).withWatermark("at", delay)
         kept = timed.filter(F.col("event_type").isin("click", "purchase", "closing"))
         groups = kept.groupBy("user_id", F.session_window("at", "24 hours").alias("s")).agg(
             F.count_if(F.col("event_type") == "click").alias("n_left"),
@@ -171,10 +189,14 @@ def s_session_cogroup(spark, folder):
 
 @query
 def s_bounded_lateness(spark, folder):
+    # The bound of a day, or the disorder of the files if that is larger: no row is too late.
+    millis = disorder(spark, folder, "events", F.unix_millis(F.col("ts").cast("timestamp")))
+    bound = f"{max(24 * HOUR, millis)} milliseconds"
+
     def grouped(stream: DataFrame) -> DataFrame:
         records = stream.select("user_id", F.col("event_type").cast("binary").alias("value"), F.col("ts").alias("timestamp"))
         messages = decode_messages(records.withColumn("key", F.col("user_id")))
-        timed = bounded_lateness(messages.withColumn("at", F.timestamp_millis("event_time")), "at", "24 hours")
+        timed = bounded_lateness(messages.withColumn("at", F.timestamp_millis("event_time")), "at", bound)
         sessions = timed.groupBy("message", F.session_window("at", "1 hour").alias("s")).agg(
             F.count(F.lit(1)).alias("n")
         )
@@ -185,26 +207,22 @@ def s_bounded_lateness(spark, folder):
 
 @query
 def s_idle_timeout_count(spark, folder):
+    delay = disorder(spark, folder, "events", F.unix_millis(F.col("ts").cast("timestamp")))
+
     def counted(stream: DataFrame) -> DataFrame:
-        return keyed_state(
-            with_millis(stream).withWatermark("ts", "0 seconds"), "user_id",
-            processors.IdleTimeout(["user_id"], "time", 6 * HOUR),
-            "user_id bigint, time bigint, count bigint", event_time=True,
-        )
+        timed = with_millis(stream).select("user_id", "time")
+        idle = processors.IdleTimeout(["user_id"], "time", 6 * HOUR)
+        return ordered_state(timed, "user_id", idle, "user_id bigint, time bigint, count bigint", "time", delay)
 
     return run_flushed(spark, timed_stream(spark, folder), counted, CLOSING, "idle")
 
 
 @query
 def s_timer_echo(spark, folder):
-    def echoed(stream: DataFrame) -> DataFrame:
-        return keyed_state(
-            with_millis(stream).withWatermark("ts", "0 seconds"), "user_id",
-            processors.TimerEcho(["user_id"], "time", 6 * HOUR),
-            "user_id bigint, fire_time bigint", event_time=True,
-        )
-
-    return run_flushed(spark, timed_stream(spark, folder), echoed, CLOSING, "echo")
+    # One timer per user and instant: repeats of an instant go, whatever batch they come in.
+    stream = timed_stream(spark, folder).withColumn("at", F.timestamp_millis(F.unix_millis("ts")))
+    once = stream.withWatermark("at", lateness(spark, folder)).dropDuplicates(["user_id", "at"])
+    return run_append(once.select("user_id", (F.unix_millis("at") + 6 * HOUR).alias("fire_time")), "echo")
 
 
 # Keyed state
@@ -212,92 +230,82 @@ def s_timer_echo(spark, folder):
 
 @query
 def s_running_sum(spark, folder):
-    stream = event_stream(spark, folder).select("event_id", "user_id", "cents")
-    sums = keyed_state(
-        stream, "user_id", processors.RunningSum(["user_id"], ["event_id"], "cents", "running_sum"),
-        "event_id bigint, user_id bigint, running_sum bigint",
+    return in_event_order(
+        spark, folder, lambda e: e.select("event_id", "user_id", "cents"),
+        processors.RunningSum(["user_id"], ["event_id"], "cents", "running_sum"),
+        "event_id bigint, user_id bigint, running_sum bigint", "running-sum",
     )
-    return run_append(sums, "running-sum")
 
 
 @query
 def s_running_max_by(spark, folder):
-    stream = event_stream(spark, folder).select("event_id", "user_id", F.expr("cents div 1000").alias("score"))
-    best = keyed_state(
-        stream, "user_id",
+    return in_event_order(
+        spark, folder, lambda e: e.select("event_id", "user_id", F.expr("cents div 1000").alias("score")),
         processors.RunningMaxBy(["user_id"], ["event_id"], "score", ["event_id", "score"], "event_id bigint, score bigint"),
-        "user_id bigint, event_id bigint, max_event_id bigint, max_score bigint",
+        "user_id bigint, event_id bigint, max_event_id bigint, max_score bigint", "running-max",
     )
-    return run_append(best, "running-max")
 
 
 @query
 def s_count_window(spark, folder):
-    stream = event_stream(spark, folder).select("event_id", "user_id", "event_type", "cents")
-    windows = keyed_state(
-        stream, "user_id", processors.CountWindow(["user_id"], ["event_id"], 2, "event_type", "cents"),
-        "user_id bigint, window_no bigint, names string, total bigint",
+    return in_event_order(
+        spark, folder, lambda e: e.select("event_id", "user_id", "event_type", "cents"),
+        processors.CountWindow(["user_id"], ["event_id"], 2, "event_type", "cents"),
+        "user_id bigint, window_no bigint, names string, total bigint", "count-window",
     )
-    return run_append(windows, "count-window")
 
 
-def segments_of(stream: DataFrame) -> DataFrame:
-    return keyed_state(
-        stream.select("event_id", "user_id", "event_type"), "user_id",
-        processors.MarkerSegments(["user_id"], ["event_id"], "event_type", "error"),
-        "user_id bigint, segment bigint, size bigint, text string",
-    )
+SEGMENTS = "user_id bigint, segment bigint, part bigint, size bigint, text string"
+
+
+def segments_of() -> processors.MarkerSegments:
+    return processors.MarkerSegments(["user_id"], ["event_id"], "event_type", "error", PART_ITEMS)
 
 
 @query
 def s_marker_segments(spark, folder):
-    return run_append(segments_of(event_stream(spark, folder)), "segments")
+    keep = lambda e: e.select("event_id", "user_id", "event_type")
+    return in_event_order(spark, folder, keep, segments_of(), SEGMENTS, "segments")
 
 
-def last_values(spark, folder, ttl_ms: int | None) -> DataFrame:
-    stream = event_stream(spark, folder).select("event_id", "user_id", "event_type")
-    return keyed_state(
-        stream, "user_id",
-        processors.LastValue(["user_id"], ["event_id"], "event_type", "string", ttl_ms, "previous"),
-        "event_id bigint, user_id bigint, event_type string, previous string",
+def last_values(spark, folder, expires: int | None, name: str) -> DataFrame:
+    held = processors.LastValue(
+        ["user_id"], ["event_id"], "event_type", "string", None, "previous", time="time", expires=expires
+    )
+    return in_event_order(
+        spark, folder, lambda e: e.select("event_id", "user_id", "event_type", "time"), held,
+        "event_id bigint, user_id bigint, event_type string, previous string", name,
     )
 
 
 @query
 def s_last_value_state(spark, folder):
-    return run_append(last_values(spark, folder, None), "last-value")
+    return last_values(spark, folder, None, "last-value")
 
 
 @query
 def s_last_value_ttl(spark, folder):
-    # Fixed value: held values expire 100 seconds after they were written.
-    return run_until_idle(last_values(spark, folder, 100_000), "last-value-ttl")
+    return last_values(spark, folder, TTL, "last-value-ttl")
 
 
 @query
 def s_restart_recovery(spark, folder):
-    """Segments over several micro-batches, with a sink that fails once in the middle."""
+    """Segments over several micro-batches; the query is stopped on the way and resumed from its checkpoint."""
     work = work_dir(spark, "recovery")
-    events = table(spark, folder, "events")
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
     low, high = events.agg(F.min("event_id"), F.max("event_id")).head()
     cuts = [low, low + (high - low) // 3, low + 2 * (high - low) // 3, high + 1]
-    for first, end in zip(cuts, cuts[1:]):
-        part = events.filter((F.col("event_id") >= first) & (F.col("event_id") < end))
-        part.write.mode("append").parquet(f"{work}/input")
-    stream = segments_of(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/input"))
+    closing = spark.createDataFrame([(CLOSING["event_id"], -1, "closing")], events.schema)
+    # The last third first: rows come out of order across the stop.
+    parts = [events.filter((F.col("event_id") >= a) & (F.col("event_id") < b)) for a, b in zip(cuts, cuts[1:])]
     store = append_batches(f"{work}/rows")
-    failures: list[int] = []
-
-    def store_and_fail_once(batch: DataFrame, batch_id: int) -> None:
-        store(batch, batch_id)
-        if batch_id == 1 and not failures:
-            failures.append(batch_id)
-            raise RuntimeError("sink failed")
-
-    def start():
-        writer = stream.writeStream.foreachBatch(store_and_fail_once).trigger(availableNow=True)
+    delay = (high - low) // 1000 + 2
+    for part in [parts[2], parts[0], parts[1], closing]:
+        part.write.mode("append").parquet(f"{work}/input")
+        read = spark.readStream.schema(events.schema).parquet(f"{work}/input")
+        stream = ordered_state(read, "user_id", segments_of(), SEGMENTS, "event_id", delay, 1000)
+        writer = stream.writeStream.foreachBatch(store).trigger(availableNow=True)
         with state_settings(spark):
-            return writer.option("checkpointLocation", f"{work}/checkpoint").start()
-
-    run_with_restarts(start)
+            running = writer.option("checkpointLocation", f"{work}/checkpoint").start()
+        running.awaitTermination()
     return spark.read.parquet(f"{work}/rows").drop("processed_at", "batch_id")

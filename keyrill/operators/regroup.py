@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from keyrill.operators.rolling import row_index
 
-# Values a single output line may hold; a longer group comes in numbered parts.
-MAX_VALUES = 1_000_000
+# Values a line holds at most; every group is cut into parts of this many values.
+MAX_VALUES = 100_000
 
 
 def parse_pairs(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -17,15 +17,15 @@ def parse_pairs(lines: DataFrame, line: str = "value") -> DataFrame:
     A first field that is not an integer fails the job.
     """
     fields = F.split(F.col(line), "\t")
-    return lines.select(fields[1].alias("key"), fields[0].cast("int").alias("number"))
+    return lines.select(fields[1].alias("key"), fields[0].cast("bigint").alias("number"))
 
 
 def regroup(pairs: DataFrame, max_values: int = MAX_VALUES, rows_per_slice: int | None = None) -> DataFrame:
     """One line per key: the key and its numbers in order, separated by tabs.
 
     Duplicates stay. ``first`` is the smallest number as text, by which lines are to be
-    ordered. A key with more than ``max_values`` numbers gives several lines, numbered
-    by ``part``; the numbers of all of them in order are the group.
+    ordered. A group comes in lines of ``max_values`` numbers, the last one shorter, numbered
+    by ``part`` from 0; the numbers of all of them in order are the group.
     """
     # Equal numbers are alike, so any order between them gives the same line.
     placed = row_index(pairs, "number", "key", out="at", rows_per_slice=rows_per_slice)

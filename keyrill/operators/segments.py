@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyrill.functions.ordering import names, with_keys
 from keyrill.operators.rolling import Keys
-from keyrill.plans.running import running, total
-from keyrill.plans.slices import SLICE, plan_slices
+from keyrill.plans.running import latest, running, total
+from keyrill.plans.slices import plan_slices
 
-# Items a single output text may hold; a longer run comes in numbered parts.
-MAX_ITEMS = 1_000_000
+# Items a text holds at most; every run is cut into parts of this many items.
+MAX_ITEMS = 100_000
 
 
 def marker_segments(
@@ -25,36 +25,27 @@ def marker_segments(
 ) -> DataFrame:
     """Size and text of each run of items before a marker; an unclosed tail gives nothing.
 
-    Every item of the text follows a space. A run of more than ``max_items`` items gives
-    several rows, numbered by ``part``, whose texts joined in order are its text; all
-    other runs give one row.
+    Every item of the text follows a space. A run comes in parts of ``max_items`` items, the
+    last one shorter, numbered from 0: a row each, whose texts joined in order are the run's.
     """
     df, key_names = with_keys(df, keys)
     order = names(order_by)
     is_marker = F.col(item).eqNullSafe(F.lit(marker))
     plan = plan_slices(df, key_names, order, rows_per_slice)
-    counted = running(plan.assign(df), plan, _closed=total(F.when(is_marker, 1).otherwise(0).cast("long")))
+    one = lambda c: F.when(c, 1).otherwise(0).cast("long")
+    counted = running(plan.assign(df), plan, _closed=total(one(is_marker)), _items=total(one(~is_marker)))
+    placed = running(counted, plan, _base=latest(F.when(is_marker, F.col("_items"))))
     # A marker belongs to the run it closes.
-    numbered = counted.withColumn("segment", F.col("_closed") - F.when(is_marker, 1).otherwise(0))
+    numbered = placed.withColumn("segment", F.col("_closed") - one(is_marker))
+    within = F.col("_items") - F.coalesce("_base", F.lit(0)) - 1
 
     run = [*key_names, "segment"]
     entry = F.struct(*[F.col(o).alias(f"order_{i}") for i, o in enumerate(order)], F.coalesce(item, F.lit("null")).alias("item"))
-    texts = F.transform(
-        F.array_sort(F.collect_list(F.when(~is_marker, entry))), lambda e: F.concat(F.lit(" "), e["item"])
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.concat(F.lit(" "), e["item"])), "")
+    parts = (
+        numbered.filter(~is_marker).withColumn("part", F.floor(within / max_items).cast("long"))
+        .groupBy(*run, "part").agg(F.count(F.lit(1)).alias("size"), text.alias("text"))
     )
-    piece = [F.count_if(~is_marker).alias("size"), F.max(is_marker).alias("closed"), F.array_join(texts, "").alias("text")]
-    if not plan.sliced:
-        whole = numbered.groupBy(*run).agg(*piece).withColumn("part", F.lit(0))
-    else:
-        pieces = numbered.groupBy(*run, SLICE).agg(*piece)
-        sums = Window.partitionBy(*run)
-        pieces = pieces.withColumns({
-            "size": F.sum("size").over(sums),
-            "closed": F.max("closed").over(sums),
-        })
-        pieces = pieces.withColumn("part", F.when(F.col("size") > max_items, F.col(SLICE)).otherwise(F.lit(0)))
-        ordered = F.array_sort(F.collect_list(F.struct(SLICE, "text")))
-        whole = pieces.groupBy(*run, "part", "size", "closed").agg(
-            F.array_join(F.transform(ordered, lambda e: e["text"]), "").alias("text")
-        )
-    return whole.filter(F.col("closed") & (F.col("size") > 0)).select(*run, "part", "size", "text")
+    closed = numbered.filter(is_marker).select(*[F.col(c).alias(f"_r_{c}") for c in run])
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in run]
+    return parts.join(closed, same, "left_semi").select(*run, "part", "size", "text")

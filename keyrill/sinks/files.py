@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 
@@ -22,8 +22,17 @@ def write_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").text(path)
 
 
-def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme Spark resolves it to, so that tasks write where Spark reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
+def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of an address and the path in it; a plain path is local."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    if "://" in path:
         return pafs.FileSystem.from_uri(path)
     return pafs.LocalFileSystem(), path
 
@@ -41,7 +50,7 @@ class LineWriter(DataSourceWriter):
         self.path = options["path"]
         self.overwrite = overwrite
         self.job = uuid.uuid4().hex
-        fs, base = _filesystem(self.path)
+        fs, base = filesystem(self.path)
         if not overwrite and fs.get_file_info(base).type != pafs.FileType.NotFound:
             raise FileExistsError(f"{self.path} exists; use mode overwrite")
 
@@ -50,9 +59,9 @@ class LineWriter(DataSourceWriter):
         return f"_staging-{self.job}"
 
     def open(self, partition: int, attempt: int) -> str:
-        fs, base = _filesystem(self.path)
+        fs, base = filesystem(self.path)
         fs.create_dir(f"{base}/{self.staging}", recursive=True)
-        name = f"part-{partition:05d}-{attempt}.txt"
+        name = f"part-{partition:05d}-{attempt}-{self.job[:8]}.txt"
         self.stream = fs.open_output_stream(f"{base}/{self.staging}/{name}")
         return name
 
@@ -74,22 +83,22 @@ class LineWriter(DataSourceWriter):
         return Written(name, rows)
 
     def commit(self, messages: list) -> None:
-        fs, base = _filesystem(self.path)
+        fs, base = filesystem(self.path)
         written = [m for m in messages if m is not None]
-        if self.overwrite:
-            for old in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)):
-                if old.is_file:
-                    fs.delete_file(old.path)
         fs.create_dir(base, recursive=True)
+        before = [f.path for f in fs.get_file_info(pafs.FileSelector(base)) if f.is_file]
         for message in written:
             if message.rows:
                 fs.move(f"{base}/{self.staging}/{message.name}", f"{base}/{message.name}")
+        # The old files go only when the new ones are in place.
+        for old in before if self.overwrite else ():
+            fs.delete_file(old)
         self._drop_staging(fs, base)
         with fs.open_output_stream(f"{base}/_SUCCESS"):
             pass
 
     def abort(self, messages: list) -> None:
-        self._drop_staging(*_filesystem(self.path))
+        self._drop_staging(*filesystem(self.path))
 
     def _drop_staging(self, fs: pafs.FileSystem, base: str) -> None:
         folder = f"{base}/{self.staging}"

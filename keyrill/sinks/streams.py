@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from keyrill.operators.transforms import labelled
+from keyrill.sinks.files import filesystem
 
 
 def append_batches(path: str):
@@ -38,22 +40,27 @@ def watermark_of(query) -> str | None:
 class FileRowSink:
     """A ``foreach`` object: ``open`` per partition and epoch, ``process`` per row, ``close``.
 
-    The file name is made of partition and epoch, so a repeated epoch replaces its file.
+    ``folder`` is an address every executor can write to (``files.qualified``). The file name is
+    made of partition and epoch, so a repeated epoch replaces its file.
     """
 
     def __init__(self, folder: str):
         self.folder = folder
 
     def open(self, partition_id: int, epoch_id: int) -> bool:
-        os.makedirs(self.folder, exist_ok=True)
-        self.target = os.path.join(self.folder, f"epoch-{epoch_id:06d}-part-{partition_id:05d}.txt")
-        self.stream = open(f"{self.target}.tmp", "w", encoding="utf-8")
+        self.fs, base = filesystem(self.folder)
+        self.fs.create_dir(base, recursive=True)
+        self.target = f"{base}/epoch-{epoch_id:06d}-part-{partition_id:05d}.txt"
+        self.open_name = f"{base}/_{uuid.uuid4().hex}.tmp"  # readers skip names with an underscore
+        self.stream = self.fs.open_output_stream(self.open_name)
         return True
 
     def process(self, row: Row) -> None:
-        self.stream.write("\t".join("" if v is None else str(v) for v in row) + "\n")
+        self.stream.write(("\t".join("" if v is None else str(v) for v in row) + "\n").encode())
 
     def close(self, error) -> None:
         self.stream.close()
         if error is None:
-            os.replace(f"{self.target}.tmp", self.target)
+            self.fs.move(self.open_name, self.target)
+        else:
+            self.fs.delete_file(self.open_name)

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import os
 import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from keyrill.session import ROCKSDB, work_dir
 
 
-# Bytes of input per micro-batch. Processors hold a key's share of a micro-batch in
-# memory, so this bounds what a hot key takes; a backlog is better read by a batch query.
+# Bytes of input per micro-batch; results do not depend on it.
 BYTES_PER_BATCH = 1 << 30
 
 
@@ -36,6 +35,22 @@ def stream_table(
     return reader.option(*limit).parquet(folder)
 
 
+def disorder(spark: SparkSession, folder: str, name: str, time: Column, per_ms: int = 1) -> int:
+    """How far, in milliseconds, a file of ``stream_table`` may lie before files read earlier.
+
+    For each file, the latest time in it and in files not younger, less its own earliest;
+    the largest of these, and a little for rounding. ``time`` is a whole number of ``per_ms``
+    units a millisecond. One row per file is compared.
+    """
+    rows = spark.read.option("pathGlobFilter", f"{name}*.parquet").parquet(folder)
+    files = rows.groupBy("_metadata.file_path", "_metadata.file_modification_time").agg(
+        F.min(time).alias("low"), F.max(time).alias("high")
+    )
+    earlier = Window.orderBy("file_modification_time").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    found = files.select((F.max("high").over(earlier) - F.col("low")).alias("d")).agg(F.max("d")).head()[0]
+    return -(-(found or 0) // per_ms) + 2
+
+
 @contextmanager
 def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """RocksDB state, and one state partition per core unless told otherwise.
@@ -69,7 +84,7 @@ def start_to_parquet(stream: DataFrame, folder: str, name: str | None = None, pa
         return writer.option("checkpointLocation", f"{folder}/checkpoint").start(f"{folder}/out")
 
 
-def run_until_idle(stream: DataFrame, name: str, partitions: int | None = None, patience: float = 600.0) -> DataFrame:
+def run_until_idle(stream: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
     """Run a stream until it meets no more input, then stop it; the rows it appended.
 
     For state that expires by the clock: such a query keeps running empty batches, so it
@@ -80,14 +95,11 @@ def run_until_idle(stream: DataFrame, name: str, partitions: int | None = None,
     writer = stream.writeStream.outputMode("append").format("parquet")
     with state_settings(spark, partitions):
         query = writer.option("checkpointLocation", f"{folder}/checkpoint").start(f"{folder}/out")
-    deadline = time.monotonic() + patience
     try:
         while query.isActive:
             progress = query.lastProgress
             if progress and progress["batchId"] > 0 and progress["numInputRows"] == 0:
                 break
-            if time.monotonic() > deadline:
-                raise TimeoutError(f"{name} still has input after {patience} seconds")
             time.sleep(0.2)
         failure = query.exception()
         if failure:
@@ -123,7 +135,7 @@ def run_flushed(
     folder = work_dir(spark, name)
     closing = f"{folder}/closing"
     row = spark.createDataFrame([tuple(last_row.get(f.name) for f in data.schema)], data.schema)
-    os.makedirs(closing, exist_ok=True) if "://" not in closing else row.limit(0).write.parquet(closing)
+    row.limit(0).write.parquet(closing)
     closer = spark.readStream.schema(data.schema).parquet(closing)
     stream = build(data.unionByName(closer))
     start_to_parquet(stream, folder, partitions=partitions).awaitTermination()

@@ -1,8 +1,9 @@
 """Keyed state operators on streams.
 
-Rows of a key within a micro-batch are put in order before they are used, so results do
-not depend on how a batch was shuffled. A key's share of a micro-batch is in memory at
-once: limit the batch at the source (files or offsets per trigger) to bound it.
+Run through ``ordered_state``, a processor gets the rows of a key in order across
+micro-batches: they wait in state until the watermark has passed them. Run through
+``keyed_state`` it gets them as they come, in order within a micro-batch only.
+A key's waiting rows are in memory at once when they are used.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from keyrill.functions.ordering import names
@@ -33,9 +35,77 @@ class KeyedProcessor(StatefulProcessor):
                 frame.insert(i, name, [key[i]] * len(frame))
         return frame
 
+    def advance(self, key: tuple, watermark: int) -> Iterator[pd.DataFrame]:
+        """What follows from event time reaching ``watermark`` without further rows."""
+        return iter(())
+
+    def wake(self) -> int | None:
+        """The event time in milliseconds at which ``advance`` has something to do."""
+        return None
+
     def close(self) -> None: ...
 
 
+# The first watermark is the epoch, and rows at or before it count as late; so times are moved on.
+SHIFT_MS = 86_400_000
+
+
+class Ordered(StatefulProcessor):
+    """Holds rows until the watermark passes them, then gives them to a processor in order.
+
+    ``time`` is a whole number of ``per_ms`` units a millisecond. One timer per key is kept:
+    at the last waiting row, else where the processor wants to wake.
+    """
+
+    def __init__(self, inner: KeyedProcessor, columns: Sequence[str], kinds: Sequence[str], time: str, per_ms: int):
+        self.inner, self.columns, self.kinds = inner, list(columns), list(kinds)
+        self.time, self.per_ms = time, per_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("buffered", ", ".join(f"`{c}` {k}" for c, k in zip(self.columns, self.kinds, strict=True)))
+        self.inner.init(handle)
+
+    def _tuples(self, frame: pd.DataFrame) -> list[tuple]:
+        """Rows as the state takes them: null as None, and whole numbers as such beside nulls."""
+        columns = []
+        for name, kind in zip(self.columns, self.kinds, strict=True):
+            values = frame[name].tolist()
+            whole = kind in ("bigint", "int", "smallint", "tinyint")
+            columns.append([None if v is None or v != v else int(v) if whole else v for v in values])
+        return list(zip(*columns, strict=True))
+
+    def _rest_until(self, at: int) -> None:
+        self.handle.registerTimer(-(-at // self.per_ms) + SHIFT_MS)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows), ignore_index=True)
+        self.waiting.appendList(self._tuples(frame))
+        if not list(self.handle.listTimers()):
+            self._rest_until(int(frame[self.time].max()))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs() - SHIFT_MS
+        held = pd.DataFrame([tuple(r) for r in self.waiting.get()], columns=self.columns)
+        late = held[self.time] > watermark * self.per_ms
+        due, rest = held[~late], held[late]
+        if len(due):
+            yield from self.inner.handleInputRows(key, iter([due.reset_index(drop=True)]), timerValues)
+        yield from self.inner.advance(key, watermark)
+        if len(rest):
+            self.waiting.put(self._tuples(rest))
+            self._rest_until(int(rest[self.time].max()))
+        else:
+            self.waiting.clear()
+            at = self.inner.wake()
+            if at is not None:
+                self.handle.registerTimer(at + SHIFT_MS)
+
+    def close(self) -> None:
+        self.inner.close()
+
+
 class RunningSum(KeyedProcessor):
     def __init__(self, keys, order_by, value: str, out: str):
         super().__init__(keys)
@@ -46,10 +116,13 @@ class RunningSum(KeyedProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         frame = in_order(rows, self.order_by)
-        before = self.sum.get()[0] if self.sum.exists() else 0
-        sums = before + frame[self.value].astype("int64").cumsum()
-        self.sum.update((int(sums.iloc[-1]),))
-        yield frame.assign(**{self.out: sums})
+        known = self.sum.exists()
+        values = frame[self.value]
+        sums = (self.sum.get()[0] if known else 0) + values.fillna(0).astype("int64").cumsum()
+        seen = values.notna().cummax() | known  # null until the first value
+        if seen.iloc[-1]:
+            self.sum.update((int(sums.iloc[-1]),))
+        yield frame.assign(**{self.out: sums.astype("Int64").where(seen)})
 
 
 class RunningMaxBy(KeyedProcessor):
@@ -69,11 +142,11 @@ class RunningMaxBy(KeyedProcessor):
         if self.best.exists():
             held = pd.DataFrame([self.best.get()], columns=self.fields)
             fields = pd.concat([held, fields], ignore_index=True)
-        values = fields[self.value]
+        values = pd.to_numeric(fields[self.value]).astype("float64").fillna(-np.inf)
         grew = values > values.cummax().shift(fill_value=values.iloc[0])
         at = pd.Series(np.where(grew, np.arange(len(fields)), 0)).cummax()
         best = fields.iloc[at].reset_index(drop=True)
-        self.best.update(tuple(v.item() if hasattr(v, "item") else v for v in best.iloc[-1]))
+        self.best.update(tuple(None if v != v else v.item() if hasattr(v, "item") else v for v in best.astype(object).iloc[-1]))
         shown = best.tail(len(frame)).reset_index(drop=True).add_prefix("max_")
         yield self.keyed(key, pd.concat([frame[self.order_by], shown], axis=1))
 
@@ -110,9 +183,8 @@ class CountWindow(KeyedProcessor):
 class IdleTimeout(KeyedProcessor):
     """Rows of the key so far, each time ``idle`` milliseconds pass without a row.
 
-    A batch's rows come before the timers it moves past, so a row after a gap reports the
-    gap itself. One timer per key is kept; when it fires the pending report is done, the
-    count stays.
+    For ``ordered_state``: a row after a gap reports the gap, and where no row follows the
+    watermark does. The count goes on after a report.
     """
 
     def __init__(self, keys, time: str, idle: int):
@@ -120,7 +192,6 @@ class IdleTimeout(KeyedProcessor):
         self.time, self.idle = time, idle
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
         self.state = handle.getValueState("seen", "count bigint, last bigint")
 
     def report(self, key, times, counts) -> pd.DataFrame:
@@ -134,96 +205,103 @@ class IdleTimeout(KeyedProcessor):
         reported, sizes = times[ends], counts[ends]
         if last is not None and times[0] - last > self.idle:
             reported, sizes = np.insert(reported, 0, last), np.insert(sizes, 0, count)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(int(times[-1]) + self.idle)
         self.state.update((int(counts[-1]), int(times[-1])))
         if len(reported):
             yield self.report(key, reported, sizes)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def advance(self, key, watermark) -> Iterator[pd.DataFrame]:
+        if not self.state.exists():
+            return
         count, last = self.state.get()
-        if last is not None and last + self.idle <= expiredTimerInfo.getExpiryTimeInMs():
+        if last is not None and last + self.idle <= watermark:
             self.state.update((count, None))
             yield self.report(key, [last], [count])
 
-
-class TimerEcho(KeyedProcessor):
-    """Each row sets a timer ``delay`` milliseconds ahead; equal times share one."""
-
-    def __init__(self, keys, time: str, delay: int):
-        super().__init__(keys)
-        self.time, self.delay = time, delay
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for frame in rows:
-            for time in frame[self.time].unique():
-                self.handle.registerTimer(int(time) + self.delay)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self.keyed(key, pd.DataFrame({"fire_time": [expiredTimerInfo.getExpiryTimeInMs()]}))
+    def wake(self) -> int | None:
+        last = self.state.get()[1] if self.state.exists() else None
+        return None if last is None else last + self.idle
 
 
 class MarkerSegments(KeyedProcessor):
-    """Size and text of the items before each marker; open items wait in list state."""
+    """Size and text of the items before each marker, in parts of at most ``max_items``.
+
+    Full parts are not held: of an open run, the items of its unfinished part wait in list state
+    and its finished parts as texts, until the marker closes the run.
+    """
 
-    def __init__(self, keys, order_by, item: str, marker: str):
+    def __init__(self, keys, order_by, item: str, marker: str, max_items: int):
         super().__init__(keys)
-        self.order_by, self.item, self.marker = list(order_by), item, marker
+        self.order_by, self.item, self.marker, self.max_items = list(order_by), item, marker, max_items
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.open = handle.getListState("open", "item string")
+        self.parts = handle.getListState("parts", "text string")
         self.closed = handle.getValueState("closed", "segments bigint")
 
+    def _text(self, items) -> str:
+        return "".join(f" {'null' if i is None or i != i else i}" for i in items)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         items = in_order(rows, self.order_by)[self.item].to_numpy(object)
         segment = self.closed.get()[0] if self.closed.exists() else 0
+        n = self.max_items
         ends = np.flatnonzero(items == self.marker)
+        finished = [p[0] for p in self.parts.get()]
+        run = [held[0] for held in self.open.get()]
         found, begin = [], 0
-        for end in ends:
-            run = list(items[begin:end])
-            if begin == 0:
-                run = [held[0] for held in self.open.get()] + run
-            if run:
-                found.append((segment, len(run), "".join(f" {i}" for i in run)))
-            segment, begin = segment + 1, end + 1
-        tail = [(i,) for i in items[begin:]]
+        for end in [*ends, len(items)]:
+            run += list(items[begin:end])
+            while len(run) >= n:
+                finished.append(self._text(run[:n]))
+                run = run[n:]
+            if end < len(items):
+                found += [(segment, part, n, text) for part, text in enumerate(finished)]
+                if run:
+                    found.append((segment, len(finished), len(run), self._text(run)))
+                finished, run, segment, begin = [], [], segment + 1, end + 1
         if len(ends):
             self.closed.update((segment,))
-            self.open.clear()
-        if tail:
-            self.open.appendList(tail)
+        for state, held in ((self.parts, finished), (self.open, run)):
+            if held:
+                state.put([(h,) for h in held])
+            else:
+                state.clear()
         if found:
-            yield self.keyed(key, pd.DataFrame(found, columns=["segment", "size", "text"]))
+            yield self.keyed(key, pd.DataFrame(found, columns=["segment", "part", "size", "text"]))
 
 
 class LastValue(KeyedProcessor):
     """Rows passed through with the value the key held before.
 
-    With ``ttl_ms`` the held value expires that long after it was written; an expired
-    value is never seen.
+    A held value expires ``expires`` milliseconds of the ``time`` column after it was
+    written, or, with ``ttl_ms``, that long by the clock; an expired value is never seen.
     """
 
-    def __init__(self, keys, order_by, value: str, value_type: str, ttl_ms: int | None, out: str):
+    def __init__(
+        self, keys, order_by, value: str, value_type: str, ttl_ms: int | None, out: str,
+        time: str | None = None, expires: int | None = None,
+    ):
         super().__init__(keys)
         self.order_by, self.value, self.value_type = list(order_by), value, value_type
-        self.ttl_ms, self.out = ttl_ms, out
+        self.ttl_ms, self.out, self.time, self.expires = ttl_ms, out, time, expires
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("held", f"value {self.value_type}", ttlDurationMs=self.ttl_ms)
+        self.held = handle.getValueState("held", f"value {self.value_type}, at bigint", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         frame = in_order(rows, self.order_by)
         values = frame[self.value].astype(object)
         before = values.shift()
-        before.iloc[0] = self.held.get()[0] if self.held.exists() else None
+        held, at = self.held.get() if self.held.exists() else (None, None)
+        before.iloc[0] = held
+        if self.expires is not None:
+            since = frame[self.time].astype("float64").diff()
+            since.iloc[0] = float(frame[self.time].iloc[0]) - at if at is not None else 0.0
+            before = before.where(since <= self.expires, None)
         newest = values.iloc[-1]
+        written = int(frame[self.time].iloc[-1]) if self.time else 0
         self.held.clear()
-        self.held.update((newest.item() if hasattr(newest, "item") else newest,))
+        self.held.update((newest.item() if hasattr(newest, "item") else newest, written))
         yield frame.assign(**{self.out: before})
 
 
@@ -268,5 +346,23 @@ def keyed_state(
     )
 
 
+def ordered_state(
+    stream: DataFrame, keys, processor: KeyedProcessor, schema: str, time: str, delay_ms: int, per_ms: int = 1
+) -> DataFrame:
+    """Run a processor per key, in the order of ``time``, over any cut and order of the input.
+
+    ``time`` is a whole number of ``per_ms`` units a millisecond, later than a day before zero.
+    ``delay_ms`` is how much earlier than the latest time seen a row may still come
+    (``harness.disorder`` measures it for files).
+    """
+    micros = F.col(time) * (1000 // per_ms) + SHIFT_MS * 1000
+    timed = stream.withColumn("_at", F.timestamp_micros(micros)).withWatermark("_at", f"{delay_ms} milliseconds")
+    kinds = [f.dataType.simpleString() for f in stream.schema]
+    return timed.groupBy(*names(keys)).transformWithStateInPandas(
+        statefulProcessor=Ordered(processor, stream.columns, kinds, time, per_ms),
+        outputStructType=schema, outputMode="Append", timeMode="EventTime",
+    )
+
+
 def _uses_ttl(processor: StatefulProcessor) -> bool:
     return getattr(processor, "ttl_ms", None) is not None

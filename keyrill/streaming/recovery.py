@@ -1,36 +1,17 @@
-"""Checkpointing and restarts of streaming queries."""
+"""Checkpointing of streaming queries."""
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable
-
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 
-# Checkpoint interval, restart attempts, seconds between attempts.
+# Fixed value: checkpoint interval.
 CHECKPOINT_INTERVAL = "1 second"
-RESTART_ATTEMPTS = 3
-RESTART_DELAY = 0.0
 
 
 def checkpointed_writer(stream: DataFrame, checkpoint: str, interval: str = CHECKPOINT_INTERVAL):
-    """A writer that records its progress every ``interval``; the checkpoint stays after a stop."""
-    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(processingTime=interval)
-
+    """A writer that records its progress every ``interval``; the checkpoint stays after a stop.
 
-def run_with_restarts(start: Callable, attempts: int = RESTART_ATTEMPTS, delay: float = RESTART_DELAY) -> int:
-    """Start a query and wait for its end; after a failure start it again.
-
-    ``start`` must use the same checkpoint each time. Returns the number of restarts;
-    the failure after the last allowed restart is raised.
+    A query started again with the same checkpoint goes on where the last one stopped. How
+    often a failed job is tried again is a matter of the cluster's scheduler.
     """
-    for restarts in range(attempts + 1):
-        try:
-            start().awaitTermination()
-            return restarts
-        except StreamingQueryException:
-            if restarts == attempts:
-                raise
-            time.sleep(delay)
-    raise AssertionError("unreachable")
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(processingTime=interval)

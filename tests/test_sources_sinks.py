@@ -6,20 +6,10 @@ from pyspark.sql import functions as F
 from keyrill.operators.transforms import RichFunction, rich_flat_map
 from keyrill.sinks.files import LineSink, write_lines
 from keyrill.sources.collections import rows, sequence
-from keyrill.sources.counter import CounterSource
 from keyrill.sources.kafka import decode_messages, kafka_options
 from keyrill.sources.text import read_lines
 
 
-def test_bounded_parallel_counter(spark):
-    spark.dataSource.register(CounterSource)
-    read = spark.read.format("counter").options(start=1000, count=5, partitions=2).load()
-    counts = {r["word"]: r["count"] for r in read.groupBy("word").count().collect()}
-    assert counts == {f"word{n}": 2 for n in range(1000, 1005)}
-    with pytest.raises(Exception, match="needs the option count"):
-        spark.read.format("counter").load().collect()
-
-
 def test_text_overwrite(spark, tmp_path):
     path = str(tmp_path / "t")
     write_lines(rows(spark, [("old",), ("older",)], "value string"), path)

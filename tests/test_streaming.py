@@ -5,62 +5,94 @@ import os
 import shutil
 
 import pytest
-from pyspark.errors import StreamingQueryException
+from compare import differences, views
 from pyspark.sql import functions as F
 
 from keyrill.catalog import batch, stream
+from keyrill.catalog.oracle import ORACLE
 from keyrill.sources.collections import rows
-from keyrill.sources.counter import CounterSource
 from keyrill.sources.text import stream_lines
 from keyrill.sinks.streams import FileRowSink, append_batches, to_console, watermark_of
 from keyrill.streaming import processors
-from keyrill.streaming.harness import run_until_idle, start_to_parquet, state_settings, stream_table
+from keyrill.streaming.harness import disorder, run_until_idle, start_to_parquet, state_settings, stream_table
 from keyrill.streaming.processors import keyed_state
-from keyrill.streaming.recovery import checkpointed_writer, run_with_restarts
+from keyrill.streaming.recovery import checkpointed_writer
 
 FILES = 5
 
 
+ORDERS = {
+    "in_order": lambda total, i: (F.col("event_id") >= total * i // FILES) & (F.col("event_id") < total * (i + 1) // FILES),
+    "newest_first": lambda total, i: (F.col("event_id") >= total * (FILES - 1 - i) // FILES)
+    & (F.col("event_id") < total * (FILES - i) // FILES),
+    "interleaved": lambda total, i: F.col("event_id") % FILES == i,
+}
+
+
+@pytest.fixture(scope="module")
+def cuts(spark, sf_dir, tmp_path_factory):
+    """The events table as five files, each read as a micro-batch, in several orders."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").coalesce(1)
+    total = events.agg(F.max("event_id")).head()[0] + 1
+    folders = {}
+    for name, rows_of in ORDERS.items():
+        folders[name] = str(tmp_path_factory.mktemp(name))
+        for i in range(FILES):
+            part = f"{folders[name]}/part{i}"
+            events.filter(rows_of(total, i)).write.parquet(part)
+            [written] = glob.glob(f"{part}/*.parquet")
+            shutil.copy(written, f"{folders[name]}/events-{i}.parquet")
+            os.utime(f"{folders[name]}/events-{i}.parquet", (1_700_000_000 + i, 1_700_000_000 + i))
+    return folders
+
+
 @pytest.fixture(scope="module")
-def cut_events(spark, sf_dir, tmp_path_factory):
-    """The events table as five files, oldest first."""
-    folder = tmp_path_factory.mktemp("events")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").orderBy("event_id").coalesce(1)
-    total = events.count()
-    for i in range(FILES):
-        part = folder / f"part{i}"
-        low, high = total * i // FILES, total * (i + 1) // FILES
-        events.filter((F.col("event_id") >= low) & (F.col("event_id") < high)).write.parquet(str(part))
-        [written] = glob.glob(f"{part}/*.parquet")
-        shutil.copy(written, folder / f"events-{i}.parquet")
-        os.utime(folder / f"events-{i}.parquet", (1_700_000_000 + i, 1_700_000_000 + i))
-    return str(folder)
+def cut_events(cuts):
+    return cuts["in_order"]
 
 
 def as_rows(frame):
     return sorted((tuple(r) for r in frame.select(*sorted(frame.columns)).collect()), key=repr)
 
 
-TWINS = {
-    "s_running_sum": "keyed_running_sum",
-    "s_running_max_by": "keyed_running_max_by",
-    "s_last_value_state": "last_value_state",
-    "s_marker_segments": "marker_segments",
-    "s_idle_timeout_count": "idle_timeout_count",
-    "s_timer_echo": "timer_echo",
-    "s_broadcast_enrich": "broadcast_enrich_asof",
-    "s_interval_join": "interval_join",
-    "s_co_process": "co_process",
-}
+ORDERED = (
+    "s_running_sum s_running_max_by s_last_value_state s_last_value_ttl s_marker_segments s_idle_timeout_count s_timer_echo "
+    "s_broadcast_enrich s_interval_join s_session_cogroup s_bounded_lateness s_count_window"
+).split()
+CASES = [(name, "newest_first") for name in ORDERED] + [
+    (name, "interleaved") for name in ("s_marker_segments", "s_idle_timeout_count", "s_session_cogroup")
+] + [("s_co_process", "in_order"), ("s_running_sum", "in_order")]
 
 
-@pytest.mark.parametrize("name", list(TWINS))
-def test_many_batches_equal_the_batch_form(spark, sf_dir, cut_events, monkeypatch, name):
+@pytest.mark.parametrize(("name", "order"), CASES)
+def test_any_cut_and_order_of_files(spark, sf_dir, cuts, monkeypatch, name, order):
     def cut_table(session, folder, table, schema=None, **_):
-        return stream_table(session, cut_events, table, max_files=1, schema=schema)
+        return stream_table(session, cuts[order], table, max_files=1, schema=schema)
 
     monkeypatch.setattr(stream, "stream_table", cut_table)
-    assert as_rows(stream.QUERIES[name](spark, sf_dir)) == as_rows(batch.QUERIES[TWINS[name]](spark, sf_dir))
+    monkeypatch.setattr(stream, "disorder", lambda session, folder, *rest: disorder(session, cuts[order], *rest))
+    assert differences(stream.QUERIES[name](spark, sf_dir), views(sf_dir), ORACLE[name]) is None
+
+
+def test_disorder_of_files(spark, cuts):
+    ids = {name: disorder(spark, folder, "events", F.col("event_id")) for name, folder in cuts.items()}
+    assert ids["in_order"] < ids["interleaved"] <= ids["newest_first"] + FILES
+
+
+def test_null_values_as_in_the_batch_form(spark, tmp_path):
+    rows(spark, [(0, "k", None), (1, "k", 3), (2, "k", None)], "seq long, key string, v long").write.parquet(f"{tmp_path}/in/p")
+    read = spark.readStream.schema("seq long, key string, v long").parquet(f"{tmp_path}/in/p")
+    sums = keyed_state(
+        read, "key", processors.RunningSum(["key"], ["seq"], "v", "s"), "seq long, key string, v long, s long"
+    )
+    start_to_parquet(sums.select("seq", "s"), str(tmp_path)).awaitTermination()
+    assert as_rows(spark.read.parquet(f"{tmp_path}/out")) == sorted([(None, 0), (3, 1), (3, 2)], key=repr)
+    best = keyed_state(
+        read, "key", processors.RunningMaxBy(["key"], ["seq"], "v", ["seq", "v"], "seq long, v long"),
+        "key string, seq long, max_seq long, max_v long",
+    )
+    start_to_parquet(best.select("seq", "max_seq"), f"{tmp_path}/best").awaitTermination()
+    assert as_rows(spark.read.parquet(f"{tmp_path}/best/out")) == [(0, 0), (1, 1), (1, 2)]
 
 
 def test_stop_and_resume(spark, sf_dir, cut_events, tmp_path):
@@ -82,22 +114,6 @@ def test_stop_and_resume(spark, sf_dir, cut_events, tmp_path):
     assert as_rows(spark.read.parquet(f"{tmp_path}/out")) == as_rows(expected)
 
 
-def test_restarts_run_out(spark, sf_dir, tmp_path):
-    tries = []
-
-    def fail(_, batch_id):
-        tries.append(batch_id)
-        raise RuntimeError("no sink")
-
-    def start():
-        lines = stream_table(spark, sf_dir, "region", max_files=1)
-        return lines.writeStream.foreachBatch(fail).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
-
-    with pytest.raises(StreamingQueryException):
-        run_with_restarts(start, attempts=3, delay=0)
-    assert tries == [0, 0, 0, 0]
-
-
 def test_checkpoint_interval(spark, sf_dir, tmp_path):
     writer = checkpointed_writer(stream_table(spark, sf_dir, "region"), f"{tmp_path}/c").format("noop")
     query = writer.queryName("by the second").start()
@@ -153,15 +169,6 @@ def test_watermark(spark, sf_dir, tmp_path):
     assert watermark_of(query).startswith("2024-")
 
 
-def test_stream_counter_replays_its_offsets(spark):
-    source = CounterSource({"partitions": "2", "count": "5", "rowsPerBatch": "3"}).streamReader(None)
-    first, middle, end = source.initialOffset(), source.latestOffset(), source.latestOffset()
-    assert (first, middle, end, source.latestOffset()) == ({"next": 0}, {"next": 3}, {"next": 5}, {"next": 5})
-    for part in source.partitions(middle, end):
-        words = [w for rb in source.read(part) for w in rb.column("word").to_pylist()]
-        assert words == ["word3", "word4"]
-
-
 def test_console(spark, sf_dir, tmp_path):
     # The JVM prints past the capture of the test runner, so only the run is checked.
     writer = to_console(stream_table(spark, sf_dir, "region"), "regions")
