@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -426,17 +426,17 @@ def count_window_avg(spark, folder):
 
 @query
 def count_window_process(spark, folder):
-    def spread(key, rows):
-        cents = rows.column("cents")
-        return pa.table({
-            "user_id": [key[0].as_py()],
-            "window_no": [key[1].as_py()],
-            "n": [rows.num_rows],
-            "average": [pc.sum(cents).as_py() // rows.num_rows],
-        })
+    size = 5
+
+    def spread(windows: pa.RecordBatch) -> pa.RecordBatch:
+        cents = windows.column("rows").flatten().field("cents").to_numpy(zero_copy_only=False)
+        totals = cents.reshape(-1, size).sum(1)
+        averages = np.sign(totals) * (np.abs(totals) // size)  # towards zero
+        columns = [windows.column("user_id"), windows.column("window_no"), pa.array(np.full(len(totals), size)), pa.array(averages)]
+        return pa.RecordBatch.from_arrays(columns, names=["user_id", "window_no", "n", "average"])
 
     return count_windows.count_window_process(
-        window_input(spark, folder), "user_id", "event_id", 5, spread,
+        window_input(spark, folder), "user_id", "event_id", size, spread,
         "user_id bigint, window_no bigint, n bigint, average bigint",
     )
 

@@ -38,7 +38,11 @@ def with_keys(df: DataFrame, keys: Key | Sequence[Key] | None) -> tuple[DataFram
 
 
 def as_number(df: DataFrame, column: str) -> Column:
-    """A non-decreasing map of a number, date or time column to double."""
+    """A non-decreasing map of a number, date, time, text, binary or boolean column to double.
+
+    Text and binary go by their first six bytes, which a double holds exactly. Null comes
+    first, not-a-number last.
+    """
     kind = df.schema[column].dataType
     value = F.col(column)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -47,8 +51,13 @@ def as_number(df: DataFrame, column: str) -> Column:
         number = F.unix_date(value).cast("double")
     elif isinstance(kind, T.NumericType):
         number = value.cast("double")
+    elif isinstance(kind, (T.StringType, T.BinaryType)):
+        digits = F.substring(F.hex(value.cast("binary")), 1, 12)
+        number = F.conv(F.rpad(digits, 12, "0"), 16, 10).cast("double")
+    elif isinstance(kind, T.BooleanType):
+        number = value.cast("int").cast("double")
     else:
-        raise TypeError(f"order column {column!r} must be a number, date or time, not {kind.simpleString()}")
+        raise TypeError(f"cannot order by {column!r} of type {kind.simpleString()}")
     return F.coalesce(F.nanvl(number, F.lit(float("inf"))), F.lit(float("-inf")))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyrill.functions.ordering import names, with_keys
@@ -63,15 +63,15 @@ def count_window_aggregate(
 
 
 def count_window_process(df: DataFrame, keys: Keys, order_by, size: int, function, schema, **options) -> DataFrame:
-    """Whole-window function in Python: ``function(key, table) -> table``.
+    """Whole-window function in Python over many windows at once: ``function(batch) -> batch``.
 
-    ``key`` is the tuple of key values and window number; the Arrow table holds exactly
-    ``size`` rows in order.
+    The Arrow batch has the key columns, the window number and ``rows``, for each window a list
+    of exactly ``size`` structs in order.
     """
-    df, key_names = with_keys(df, keys)
-    order = [(o, "ascending") for o in names(order_by)]
-    window = [*key_names, WINDOW]
-    numbered = number_windows(df, key_names, order_by, size, **options)
-    full = numbered.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*window)))
-    full = full.filter(F.col("_n") == size).drop("_n")
-    return full.groupBy(*window).applyInArrow(lambda key, table: function(key, table.sort_by(order)), schema)
+    windows = count_window_rows(df, keys, order_by, size, **options)
+
+    def run(batches):
+        for batch in batches:
+            yield function(batch)
+
+    return windows.mapInArrow(run, schema)

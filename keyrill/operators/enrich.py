@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from keyrill.functions.ordering import names
 from keyrill.plans.running import latest, running
-from keyrill.plans.slices import ROWS_PER_SLICE, hot_keys, plan_slices
+from keyrill.plans.slices import MAX_LISTED, ROWS_PER_SLICE, hot_keys, plan_slices
 
 
 def latest_config(config: DataFrame, code: str, value: str, order_by: str | Sequence[str]) -> DataFrame:
@@ -20,14 +20,14 @@ def latest_config(config: DataFrame, code: str, value: str, order_by: str | Sequ
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: str, rows_per_key: int | None = None) -> DataFrame:
     """Inner join with a lookup that has one row per key.
 
-    Adaptive execution broadcasts the lookup if its measured size allows. Keys with
-    very many facts leave the shuffle join: their lookup rows are at most as many as
-    the hot keys, a fixed limit, and are broadcast to the facts where those lie.
+    Adaptive execution broadcasts the lookup if its measured size allows, and splits the
+    shuffle partition of a hot key. Where at most ``MAX_LISTED`` keys have very many facts, those
+    leave the shuffle join: their lookup rows, counted, are broadcast to the facts where those lie.
     """
-    hot = list(hot_keys(facts, [on], rows_per_key or ROWS_PER_SLICE))
-    if not hot:
+    found = hot_keys(facts, [on], rows_per_key or ROWS_PER_SLICE).limit(MAX_LISTED + 1).collect()
+    if not found or len(found) > MAX_LISTED:
         return facts.join(lookup, on)
-    is_hot = F.xxhash64(on).isin(hot)
+    is_hot = F.xxhash64(on).isin([r["h"] for r in found])
     spread = facts.filter(~is_hot).join(lookup.filter(~is_hot), on)
     placed = facts.filter(is_hot).join(F.broadcast(lookup.filter(is_hot)), on)
     return spread.unionByName(placed)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from keyrill.functions.ordering import names, with_keys
 from keyrill.operators.rolling import Keys
-from keyrill.plans.running import latest, running, total
+from keyrill.plans.running import largest_ahead, latest, running, total
 from keyrill.plans.slices import plan_slices
 
 # Items a text holds at most; every run is cut into parts of this many items.
@@ -33,7 +33,10 @@ def marker_segments(
     is_marker = F.col(item).eqNullSafe(F.lit(marker))
     plan = plan_slices(df, key_names, order, rows_per_slice)
     one = lambda c: F.when(c, 1).otherwise(0).cast("long")
-    counted = running(plan.assign(df), plan, _closed=total(one(is_marker)), _items=total(one(~is_marker)))
+    counted = running(
+        plan.assign(df), plan,
+        _closed=total(one(is_marker)), _items=total(one(~is_marker)), _ends=largest_ahead(one(is_marker)),
+    )
     placed = running(counted, plan, _base=latest(F.when(is_marker, F.col("_items"))))
     # A marker belongs to the run it closes.
     numbered = placed.withColumn("segment", F.col("_closed") - one(is_marker))
@@ -43,9 +46,7 @@ def marker_segments(
     entry = F.struct(*[F.col(o).alias(f"order_{i}") for i, o in enumerate(order)], F.coalesce(item, F.lit("null")).alias("item"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.concat(F.lit(" "), e["item"])), "")
     parts = (
-        numbered.filter(~is_marker).withColumn("part", F.floor(within / max_items).cast("long"))
+        numbered.filter(~is_marker & (F.col("_ends") == 1)).withColumn("part", F.floor(within / max_items).cast("long"))
         .groupBy(*run, "part").agg(F.count(F.lit(1)).alias("size"), text.alias("text"))
     )
-    closed = numbered.filter(is_marker).select(*[F.col(c).alias(f"_r_{c}") for c in run])
-    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in run]
-    return parts.join(closed, same, "left_semi").select(*run, "part", "size", "text")
+    return parts.select(*run, "part", "size", "text")

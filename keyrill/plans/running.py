@@ -2,7 +2,7 @@
 
 Each value is computed inside a slice by a window. For hot keys a small table of
 one row per (hot key, slice) carries what the slices before (or after) contribute;
-its size is limited by the slice plan, so it is broadcast.
+it is broadcast up to ``MAX_CARRY_ROWS`` pairs and joined by a shuffle beyond.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from keyrill.plans.slices import SLICE, SlicePlan
+from keyrill.plans.slices import MAX_CARRY_ROWS, SLICE, SlicePlan
 
 
 @dataclass(frozen=True)
@@ -56,6 +56,14 @@ def smallest(value: Column) -> Running:
     return Running(lambda w, o: F.min(value).over(_upto(w)), lambda o: F.min(value), F.min, F.least)
 
 
+def largest_ahead(value: Column) -> Running:
+    """Largest value in the row and those after it."""
+    return Running(
+        lambda w, o: F.max(value).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
+        lambda o: F.max(value), F.max, F.greatest, following=True,
+    )
+
+
 def latest(value: Column) -> Running:
     """Last value that is not null, up to and including the row."""
     return Running(
@@ -113,6 +121,6 @@ def running(df: DataFrame, plan: SlicePlan, **values: Running) -> DataFrame:
         ],
     )
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in plan.partition_keys]
-    joined = out.join(F.broadcast(carry), same, "left")
+    joined = out.join(F.broadcast(carry) if plan.pairs <= MAX_CARRY_ROWS else carry, same, "left")
     merged = {name: v.merge(F.col(name), F.col(f"_c_{name}")) for name, v in values.items()}
     return joined.withColumns(merged).drop(*carry.columns)

@@ -2,14 +2,16 @@
 
 Rolling operators need the rows of a key in order, which on its own puts a key on
 one task. A key with more rows than a task should hold is split by its order column
-into slices of about equal depth; cold keys stay whole. The plan holds only the hot
-key hashes and the slice bounds, both of limited number, and depends on nothing but
-the data, so a lost executor recomputes the same slices.
+into slices of about equal depth; cold keys stay whole. The plan holds the slice bounds,
+of limited number, and the hashes of hot keys, or beyond ``MAX_LISTED`` of them a table of
+these in the shared folder. It depends on nothing but the data, so a lost executor
+recomputes the same slices.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -19,28 +21,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyrill.functions.ordering import as_number, names
+from keyrill.session import work_dir
 
 SLICE = "_slice"
 
 ROWS_PER_SLICE = 1_000_000
-MAX_HOT_KEYS = 4096
+MAX_LISTED = 4096
 MAX_SLICES = 16_384
 COARSE_SLICES = 256
-# Upper limit of (hot key, slice) pairs, and so of the broadcast carry table.
+# Most (hot key, slice) pairs whose carry table is broadcast.
 MAX_CARRY_ROWS = 1 << 20
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], above: int = ROWS_PER_SLICE, limit: int = MAX_HOT_KEYS
-) -> dict[int, int]:
-    """Hash and row count of the largest keys with more than ``above`` rows, at most ``limit``.
+def hot_keys(df: DataFrame, keys: Sequence[str], above: int = ROWS_PER_SLICE) -> DataFrame:
+    """Hash and row count (h, n) of the keys with more than ``above`` rows.
 
-    Counting combines on the map side, so a hot key crosses the shuffle as one row per
-    task. A key left out by the limit has at most a ``limit``-th of all rows.
+    Counting combines on the map side, so a hot key crosses the shuffle as one row per task.
     """
     counted = df.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count(F.lit(1)).alias("n"))
-    rows = counted.filter(F.col("n") > above).orderBy(F.desc("n"), "h").limit(limit).collect()
-    return {row["h"]: row["n"] for row in rows}
+    return counted.filter(F.col("n") > above)
+
+
+def mark_hot(df: DataFrame, keys: Sequence[str], hot: list[int] | None, table: DataFrame | None, name: str) -> DataFrame:
+    """``df`` with a flag for rows of hot keys: by a list of hashes, or by a join where there are too many for one."""
+    if table is None:
+        return df.withColumn(name, F.xxhash64(*keys).isin(hot) if keys else F.lit(True))
+    hashes = table.select(F.col("h").alias("_hot_key"))
+    return df.join(hashes, F.xxhash64(*keys) == F.col("_hot_key"), "left").withColumn(
+        name, F.col("_hot_key").isNotNull()
+    ).drop("_hot_key")
 
 
 @dataclass(frozen=True)
@@ -57,6 +66,8 @@ class SlicePlan:
     order_by: list[str]
     hot: list[int] = field(default_factory=list)
     levels: list[Level] = field(default_factory=list)
+    hot_table: DataFrame | None = None  # in place of ``hot``, where there are more than ``MAX_LISTED``
+    pairs: int = 0  # at most so many (hot key, slice) pairs
 
     @property
     def sliced(self) -> bool:
@@ -66,9 +77,6 @@ class SlicePlan:
     def partition_keys(self) -> list[str]:
         return [*self.keys, SLICE] if self.sliced else self.keys
 
-    def is_hot(self) -> Column:
-        return F.xxhash64(*self.keys).isin(self.hot) if self.keys else F.lit(True)
-
     def assign(self, df: DataFrame) -> DataFrame:
         """``df`` with its slice number: 0 for cold keys, rising in order for hot ones.
 
@@ -76,7 +84,8 @@ class SlicePlan:
         """
         if not self.sliced:
             return df
-        placed, number, splitting = df, F.lit(0).cast("long"), self.is_hot()
+        placed = mark_hot(df, self.keys, self.hot, self.hot_table, "_is_hot")
+        number, splitting = F.lit(0).cast("long"), F.col("_is_hot")
         for i, level in enumerate(self.levels):
             value, bucket = f"_order_{i}", f"_bucket_{i}"
             placed = Bucketizer(
@@ -105,18 +114,25 @@ def plan_slices(
     per_slice = rows_per_slice or ROWS_PER_SLICE
     key_names, order_names = names(keys), names(order_by)
     hot: list[int] = []
-    within, total = df, None
+    within, total, hot_table, n_hot = df, None, None, 1
     if key_names:
-        counts = hot_keys(df, key_names, per_slice)
-        if not counts:
+        found = hot_keys(df, key_names, per_slice)
+        first = found.limit(MAX_LISTED + 1).collect()
+        if not first:
             return SlicePlan(key_names, order_names)
-        hot, total = list(counts), sum(counts.values())
-        within = df.filter(F.xxhash64(*key_names).isin(hot))
+        if len(first) <= MAX_LISTED:
+            hot, n_hot, total = [r["h"] for r in first], len(first), sum(r["n"] for r in first)
+        else:
+            path = work_dir(df.sparkSession, "hot-keys")
+            found.write.parquet(path)
+            hot_table = df.sparkSession.read.schema(found.schema).parquet(path)
+            n_hot, total = hot_table.agg(F.count(F.lit(1)), F.sum("n")).head()
+        within = mark_hot(df, key_names, hot, hot_table, "_is_hot").filter("_is_hot")
 
     levels: list[Level] = []
-    groups, numbers = max(1, len(hot)), 1
+    numbers = 1
     for i, column in enumerate(order_names):
-        level = _cut(within, column, per_slice, total, min(MAX_SLICES, MAX_CARRY_ROWS // groups))
+        level = _cut(within, column, per_slice, total, MAX_SLICES)
         numbers *= len(level.bounds) + 2 if level else 1
         if level is None or numbers >= 1 << 63:
             break
@@ -124,8 +140,8 @@ def plan_slices(
         if not level.heavy or i + 1 == len(order_names):
             break
         within, total = within.filter(as_number(within, column).isin(level.heavy)), None
-        groups *= len(level.heavy)
-    return SlicePlan(key_names, order_names, hot, levels)
+    pairs = n_hot * math.prod(len(level.bounds) + 1 for level in levels)
+    return SlicePlan(key_names, order_names, hot, levels, hot_table, pairs)
 
 
 def _cut(df: DataFrame, column: str, per_slice: int, total: int | None, most: int) -> Level | None:
@@ -144,9 +160,13 @@ def _cut(df: DataFrame, column: str, per_slice: int, total: int | None, most: in
     if slices < 2 or not quantiles:
         return None
     step = max(1, (len(quantiles) + 1) // slices)
-    chosen = [q for q in quantiles[step - 1 :: step] if abs(q) != float("inf")]
-    heavy = sorted(q for q, n in Counter(chosen).items() if n > 1)
-    return Level(sorted({*chosen, *(math.nextafter(q, math.inf) for q in heavy)}), heavy)
+    chosen = Counter(quantiles[step - 1 :: step])
+    # A value that fills more than a slice gets a bucket of its own; so do null and not-a-number,
+    # which come as the infinities.
+    heavy = sorted(q for q, n in chosen.items() if n > 1)
+    bounds = {q for q in chosen if not math.isinf(q)} | {math.nextafter(q, math.inf) for q in heavy if not math.isinf(q)}
+    bounds |= {math.copysign(sys.float_info.max, q) for q in chosen if math.isinf(q)}
+    return Level(sorted(bounds), heavy) if bounds else None
 
 
 def _quantiles(df: DataFrame, column: str, parts: int) -> tuple[int, list[float]]:

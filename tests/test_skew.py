@@ -49,7 +49,7 @@ def same(frame, columns, expected):
 
 def test_slices_are_ordered_and_level(frame, data):
     plan = plan_slices(frame, "k", "seq", PER_SLICE)
-    assert plan.sliced and len(plan.hot) * (len(plan.levels[0].bounds) + 1) <= MAX_CARRY_ROWS
+    assert plan.sliced and plan.pairs == len(plan.hot) * (len(plan.levels[0].bounds) + 1) <= MAX_CARRY_ROWS
     placed = plan.assign(frame).filter(f"{SLICE} > 0").groupBy("k", SLICE)
     sizes = placed.agg(F.count("*").alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi")).orderBy("k", SLICE).collect()
     hot = [r for r in sizes if r["k"] == "hot"]
@@ -259,3 +259,38 @@ def test_heavy_order_values_are_split_further(spark, keys):
     assert sizes <= 4 * PER_SLICE
     placed = rolling.row_index(frame, order, keys, rows_per_slice=PER_SLICE)
     same(placed, [*order, "position"], [(*p, i + 1) for i, p in enumerate(sorted(places))])
+
+
+def test_text_as_second_order_column(spark):
+    places = [(7, f"name{i:04d}") for i in range(400)] + [(i, "x") for i in range(60)] + [(3, None)]
+    random.Random(4).shuffle(places)
+    frame = rows(spark, places, "doc long, name string")
+    for per_slice in (PER_SLICE, None):
+        placed = rolling.row_index(frame, ["doc", "name"], rows_per_slice=per_slice)
+        expected = sorted(places, key=lambda p: (p[0], p[1] is not None, p[1] or ""))
+        same(placed, ["doc", "name", "position"], [(*p, i + 1) for i, p in enumerate(expected)])
+
+
+def test_null_and_infinite_order_values(spark):
+    places = [(None, i) for i in range(300)] + [(float("nan"), i) for i in range(300)] + [(1.5, i) for i in range(20)]
+    frame = rows(spark, places, "o double, tie long")
+    for first in (places[:300], places[300:600], places):
+        part = rows(spark, first, "o double, tie long")
+        placed = {(r["tie"], str(r["o"])): r["position"] for r in rolling.row_index(part, ["o", "tie"], rows_per_slice=PER_SLICE).collect()}
+        ordered = sorted(first, key=lambda p: (p[0] is not None, p[0] is not None and p[0] != p[0], p[0] if p[0] and p[0] == p[0] else 0, p[1]))
+        assert [placed[t, str(o)] for o, t in ordered] == list(range(1, len(first) + 1))
+
+
+def test_more_hot_keys_than_can_be_listed(spark, monkeypatch):
+    from keyrill.plans import running, slices
+
+    monkeypatch.setattr(slices, "MAX_LISTED", 3)
+    monkeypatch.setattr(running, "MAX_CARRY_ROWS", 4)
+    data = [(f"k{i % 9}", i, i % 5) for i in range(900)]
+    frame = rows(spark, data, "k string, seq long, v long")
+    summed = rolling.running_sum(frame, "k", "seq", "v", rows_per_slice=PER_SLICE)
+    totals, expected = defaultdict(int), []
+    for k, seq, v in data:
+        totals[k] += v
+        expected.append((seq, totals[k]))
+    same(summed, ["seq", summed.columns[-1]], expected)
