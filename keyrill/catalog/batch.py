@@ -348,7 +348,7 @@ def session_cogroup(spark, folder):
 @query
 def session_cogroup_per_element(spark, folder):
     groups = sessions.session_cogroup_per_element(**session_sides(spark, folder))
-    return groups.select("event_id", "user_id", "session_start", "n_left", "n_right", _group_text())
+    return groups.select("event_id", "user_id", "session_start", "n_left", "n_right")
 
 
 # Aggregations

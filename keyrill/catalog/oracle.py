@@ -292,9 +292,7 @@ ORACLE: dict[str, str] = {
     "session_join": f"WITH {SESSIONS} SELECT user_id, session_start, left_id, right_id, text FROM pairs",
     "session_join_per_element": f"""
         WITH {SESSIONS}
-        SELECT p.user_id, p.session_start, left_id, right_id, text, a.arrival
-        FROM pairs p JOIN opened a ON a.user_id = p.user_id AND a.session_start = p.session_start
-        WHERE a.arrival >= p.complete
+        SELECT user_id, session_start, left_id, right_id, text, complete AS arrival FROM pairs
     """,
     "session_cogroup": f"""
         WITH {SESSIONS}, g AS ({COGROUP}) SELECT user_id, session_start, n_left, n_right, {GROUP_TEXT} FROM g
@@ -306,7 +304,7 @@ ORACLE: dict[str, str] = {
             FROM opened WINDOW s AS (PARTITION BY user_id, session_start ORDER BY time, event_id
                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
         )
-        SELECT event_id, user_id, session_start, n_left, n_right, {GROUP_TEXT} FROM g
+        SELECT event_id, user_id, session_start, n_left, n_right FROM g
     """,
     "word_count": WORD_COUNT,
     "keyed_running_max_by": RUNNING_MAX_BY,

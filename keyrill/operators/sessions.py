@@ -80,20 +80,15 @@ def session_join(left: DataFrame, right: DataFrame, keys, time: str, gap: int, o
 def session_join_per_element(
     left: DataFrame, right: DataFrame, keys, time: str, gap: int, order_by, rows_per_slice=None
 ) -> DataFrame:
-    """All pairs so far, emitted again at each arrival in the session.
+    """Every pair, emitted once, at the arrival of its later row in the session.
 
-    ``arrival`` is the position of the arriving row within its key. The output grows
-    with the square of a session's pairs; prefer :func:`session_join`.
+    ``arrival`` is the position of that row within its key. The pairs so far at an arrival are
+    those up to it, so emitting each again at every later one would add rows only.
     """
-    key_names = names(keys)
     rows, plan = two_sided_sessions(left, right, keys, time, gap, order_by, rows_per_slice)
     rows = running(rows, plan, arrival=position())
-    pairs = _pairs(rows, key_names, "arrival").withColumn(
-        "_complete", F.greatest("left_arrival", "right_arrival")
-    )
-    arrivals = rows.select(*key_names, SESSION, "arrival")
-    again = pairs.join(arrivals, [*key_names, SESSION]).filter(F.col("arrival") >= F.col("_complete"))
-    return again.drop("_complete", "left_arrival", "right_arrival")
+    pairs = _pairs(rows, names(keys), "arrival")
+    return pairs.withColumn("arrival", F.greatest("left_arrival", "right_arrival")).drop("left_arrival", "right_arrival")
 
 
 def session_cogroup(left: DataFrame, right: DataFrame, keys, time: str, gap: int, order_by, *aggregates: Column, rows_per_slice=None) -> DataFrame:

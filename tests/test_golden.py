@@ -185,7 +185,8 @@ def sides(spark):
 def test_sessions(sides):
     joined = sessions.session_join(*sides, **SIDES)
     assert found(joined, "word", "left.seq", "right.seq") == [("x", 0, 1), ("x", 2, 1)]
-    assert sessions.session_join_per_element(*sides, **SIDES).count() == 3
+    emitted = sessions.session_join_per_element(*sides, **SIDES)
+    assert found(emitted, "left.seq", "right.seq", "arrival") == [(0, 1, 2), (2, 1, 3)]
     grouped = sessions.session_cogroup(*sides, **SIDES)
     assert found(grouped, "word", "n_left", "n_right") == [("x", 1, 0), ("x", 2, 1), ("y", 0, 1)]
     arrivals = sessions.session_cogroup_per_element(*sides, **SIDES)

@@ -155,9 +155,8 @@ def test_session_join(sides, data):
 def test_session_join_per_element(sides, data):
     expected = []
     for s in known_sessions(data):
-        for i in range(len(s)):
-            seen = s[: i + 1]
-            expected += [(a[0], b[0]) for a in seen if a[5] == "left" for b in seen if b[5] == "right"]
+        for i, new in enumerate(s):
+            expected += [tuple(e[0] for e in sorted((new, old), key=lambda e: e[5])) for old in s[:i] if old[5] != new[5]]
     same(sessions.session_join_per_element(*sides, **OPTIONS), ["left.seq", "right.seq"], expected)
 
 
