@@ -33,7 +33,7 @@ from keyrill.llm.storage import materialize
 
 CAPACITY = 2048
 END_ID = 0
-PIECES_PER_SLOT = 65_536
+PIECES_PER_SLOT = 4_096
 
 # The word pattern of byte-level tokenizers.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -268,11 +268,13 @@ def pack(
     spark = docs.sparkSession
     made = materialize(pieces(docs, tokenizer, capacity, with_ids), "pieces")
     histogram = {r["length"]: r["n"] for r in made.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    slots = max(1, -(-max(histogram.values(), default=0) // pieces_per_slot))
+    # Each length has as many slots as its pieces fill; a bounded list, one number per length.
+    slots = ",".join(str(max(1, -(-histogram.get(n, 0) // pieces_per_slot))) for n in range(1, capacity + 1))
     runs = plan(histogram, capacity)
     runs = runs[np.lexsort((runs[:, 1], runs[:, 0]))]
 
-    slot = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(slots))
+    slots_of = F.element_at(F.split(F.lit(slots), ",").cast("array<bigint>"), F.col("length").cast("int"))
+    slot = F.pmod(F.xxhash64("doc_id", "piece"), slots_of)
     light = made.withColumn("_slot", slot)
     counted = light.groupBy("length", "_slot").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
