@@ -87,7 +87,7 @@ def _runs(length: int):
 
 
 def _contexts(length: int):
-    """Each repeated run with its bytes."""
+    """The bytes of repeated runs, each with the places it has in a batch of documents."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,18 +96,31 @@ def _contexts(length: int):
             anchor, place = (runs.flatten().field(i).to_numpy(zero_copy_only=False) for i in range(2))
             of = np.repeat(np.arange(len(texts)), runs.value_lengths().to_numpy(zero_copy_only=False))
             start, owned, hot = place >> 9, place >> 1 & 255, (place & 1).astype(bool)
-            for begin in range(0, len(of), 20_000):
-                part = slice(begin, begin + 20_000)
-                rows = pa.array(of[part])
-                bytes_ = [
-                    texts[i][s : s + k] for i, s, k in zip(
-                        of[part].tolist(), start[part].tolist(), (owned[part] + length - 1).tolist(), strict=True
-                    )
-                ]
+            d, h = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("_d", "_h"))
+            for begin in range(0, len(of), 100_000):
+                part = slice(begin, begin + 100_000)
+                index: dict[tuple, int] = {}
+                keys = zip(
+                    anchor[part].tolist(), hot[part].tolist(),
+                    (
+                        texts[i][s : s + k] for i, s, k in zip(
+                            of[part].tolist(), start[part].tolist(), (owned[part] + length - 1).tolist(), strict=True
+                        )
+                    ), strict=True,
+                )
+                same = np.fromiter((index.setdefault(k, len(index)) for k in keys), np.int64)
+                order = np.argsort(same, kind="stable")
+                ends = np.searchsorted(same[order], np.arange(len(index) + 1)).astype(np.int32)
+
+                def listed(values, ends=ends):
+                    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+                rows = of[part][order]
+                anchors, hots, bytes_ = zip(*index, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(anchor[part]), batch.column("_d").take(rows), batch.column("_h").take(rows),
-                        pa.array(start[part]), pa.array(bytes_, pa.binary()), pa.array(hot[part]),
+                        pa.array(anchors, pa.int64()), listed(d[rows]), listed(h[rows]), listed(start[part][order]),
+                        pa.array(bytes_, pa.binary()), pa.array(hots, pa.bool_()),
                     ],
                     names=["anchor", "_d", "_h", "start", "bytes", "hot"],
                 )
@@ -115,8 +128,11 @@ def _contexts(length: int):
     return cut
 
 
-def _block_spans(anchor, d, h, start, context: list[bytes], length: int):
-    """Spans of repeats in whole buckets of anchors: arrays (row, begin, end)."""
+def _block_spans(d, h, start, of, context: list[bytes], length: int):
+    """Spans of repeats in whole buckets of anchors: arrays (place, begin, end).
+
+    A place (d, h, start) has the bytes ``context[of]``.
+    """
     # Documents as numbers in their order, and starts as (document, place) in one number.
     order = np.lexsort((h, d))
     change = np.ones(len(d), bool)
@@ -126,7 +142,7 @@ def _block_spans(anchor, d, h, start, context: list[bytes], length: int):
     place = (number << 32) + start
 
     index: dict[bytes, int] = {}
-    same = np.fromiter((index.setdefault(c, len(index)) for c in context), np.int64, len(context))
+    same = np.fromiter((index.setdefault(c, len(index)) for c in context), np.int64, len(context))[of]
     distinct = list(index)
     earliest = np.full(len(distinct), np.iinfo(np.int64).max)
     np.minimum.at(earliest, same, place)
@@ -136,16 +152,16 @@ def _block_spans(anchor, d, h, start, context: list[bytes], length: int):
     begins = np.cumsum(sizes + 1) - sizes - 1
     text = np.frombuffer(b"\0".join(distinct) + b"\0" + pad, np.uint8)
     owned = sizes - length + 1
-    of = np.repeat(np.arange(len(distinct)), owned)
-    within = np.arange(len(of)) - np.repeat(np.cumsum(owned) - owned, owned)
-    wanted = begins[of] + within
+    holder = np.repeat(np.arange(len(distinct)), owned)
+    within = np.arange(len(holder)) - np.repeat(np.cumsum(owned) - owned, owned)
+    wanted = begins[holder] + within
 
     sorted_at = suffixes.sort_suffixes(text, wanted, length)
     groups = np.flatnonzero(suffixes.common_prefix(text, sorted_at, length) < length)
     index_of = np.empty(len(text), np.int32)
     index_of[wanted] = np.arange(len(wanted))
     back = index_of[sorted_at]
-    at = earliest[of[back]] + within[back]
+    at = earliest[holder[back]] + within[back]
     least = np.minimum.reduceat(at, groups) if len(at) else at
     repeated = np.zeros(len(wanted), bool)
     repeated[back] = at > np.repeat(least, np.diff(np.append(groups, len(at))))
@@ -153,11 +169,11 @@ def _block_spans(anchor, d, h, start, context: list[bytes], length: int):
     # Runs of repeated starts in each distinct context, for its earliest occurrence.
     flag = repeated.astype(np.int8)
     begin = np.flatnonzero(flag & ~((np.roll(flag, 1) == 1) & (within > 0)))
-    stop = np.flatnonzero(flag & ~((np.roll(flag, -1) == 1) & (within < owned[of] - 1)))
+    stop = np.flatnonzero(flag & ~((np.roll(flag, -1) == 1) & (within < owned[holder] - 1)))
     first_row = np.full(len(distinct), -1)
     is_first = place == earliest[same]
     first_row[same[is_first]] = np.flatnonzero(is_first)
-    rows = first_row[of[begin]]
+    rows = first_row[holder[begin]]
     others = np.flatnonzero(~is_first)
     return (
         np.concatenate([rows, others]),
@@ -172,11 +188,10 @@ def _sorted_blocks(length: int, block_bytes: int):
         size = 0
 
         def spans(table: pa.Table) -> pa.RecordBatch:
-            cols = {n: table.column(n).to_numpy() for n in ("anchor", "_d", "_h", "start")}
-            row, begin, end = _block_spans(
-                cols["anchor"], cols["_d"], cols["_h"], cols["start"],
-                table.column("bytes").to_pylist(), length,
-            )
+            lists = {n: table.column(n).combine_chunks() for n in ("_d", "_h", "start")}
+            cols = {n: c.flatten().to_numpy() for n, c in lists.items()}
+            of = np.repeat(np.arange(table.num_rows), lists["_d"].value_lengths().to_numpy())
+            row, begin, end = _block_spans(cols["_d"], cols["_h"], cols["start"], of, table.column("bytes").to_pylist(), length)
             return pa.RecordBatch.from_arrays(
                 [pa.array(cols["_d"][row]), pa.array(cols["_h"][row]), pa.array(begin), pa.array(end)],
                 names=["_d", "_h", "begin", "end"],
@@ -249,11 +264,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT, block_
     # The texts are shuffled here and once more where spans are applied, by the same keys and with
     # the same columns, so that one exchange serves both.
     contexts = docs.join(flagged, ["_d", "_h"]).mapInArrow(
-        _contexts(length), "anchor long, _d long, _h long, start long, bytes binary, hot boolean"
+        _contexts(length), "anchor long, _d array<long>, _h array<long>, start array<long>, bytes binary, hot boolean"
     )
     if repeated.filter("hot").limit(1).count():
         contexts = materialize(contexts, "suffix-contexts")
-        strings = contexts.filter("hot").mapInArrow(_string_digests(length), "_d long, _h long, at long, digest binary")
+        places = F.explode(F.arrays_zip("_d", "_h", "start")).alias("p")
+        strings = contexts.filter("hot").select(places, "bytes").select("p.*", "bytes").mapInArrow(_string_digests(length), "_d long, _h long, at long, digest binary")
         place = F.struct("_d", "_h", "at")
         least = strings.groupBy("digest").agg(F.min(place).alias("least"))
         more = strings.join(least, "digest").filter(place > F.col("least")).select(
