@@ -10,6 +10,8 @@ runs (length, first rank, count, first sequence, offset). Its size depends on th
 of lengths, ``capacity`` at most, never on the corpus, so it is made on the driver and broadcast.
 A piece finds its place by its length and its rank among pieces of that length.
 
+``pack_in_order`` does the same for each window of an order column, so that sequences follow that order.
+
 Tokenizing, ranking and placing are distributed. Ranks come from counts per (length, slot)
 with slots of a bounded number of pieces, so a common length is not ranked by one task.
 
@@ -104,7 +106,9 @@ def encoder(path: str) -> Encoder:
     return kept[path]
 
 
-def _pieces(tokenizer: str, capacity: int, with_ids: bool):
+def _pieces(tokenizer: str, capacity: int, with_ids: bool, carried: list[str] | None = None):
+    carried = carried or []
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()
@@ -129,7 +133,9 @@ def _pieces(tokenizer: str, capacity: int, with_ids: bool):
             if with_ids:
                 arrays.append(pa.array([np.frombuffer(p, "<u4").astype(np.int32) for p in parts], pa.list_(pa.int32())))
                 names.append("ids")
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            for name in carried:
+                arrays.append(batch.column(name).take(pa.array(rows, pa.int64())))
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, *carried])
 
     return cut
 
@@ -257,6 +263,80 @@ def _placed(runs, names: list[str]):
     return place
 
 
+def _planned(capacity: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple] = []
+            for window, lengths in zip(batch.column("_window").to_pylist(), batch.column("_lengths").to_pylist(), strict=True):
+                table = plan({e["length"]: e["n"] for e in lengths}, capacity)
+                used = int((table[:, 3] + table[:, 2]).max())
+                found += [(window, used, *row) for row in table.tolist()]
+            columns = zip(*found, strict=True) if found else [()] * 7
+            names = ["_window", "used", "length", "first", "n", "sequence", "offset"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    return run
+
+
+def pack_in_order(
+    docs: DataFrame,
+    tokenizer: str,
+    order: str,
+    window: int,
+    capacity: int = CAPACITY,
+    with_ids: bool = True,
+    pieces_per_slot: int = PIECES_PER_SLOT,
+) -> DataFrame:
+    """As ``pack``, with sequences in the order of a column of ``docs``: ``order``, a whole number from zero on.
+
+    Each ``window`` of consecutive values is packed for itself, in a task, and its sequences are numbered after
+    those of the windows before. Within a window, pieces of one length take their places in ``order`` too.
+    """
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    slim = docs.select(F.col("doc_id").cast("long"), "text", F.col(order).cast("long").alias("_order"))
+    cut = slim.mapInArrow(_pieces(tokenizer, capacity, with_ids, ["_order"]), schema + ", _order long")
+    made = materialize(cut.withColumn("_window", F.floor(F.col("_order") / window).cast("long")), "pieces")
+    histogram = materialize(made.groupBy("_window", "length").agg(F.count(F.lit(1)).alias("n")), "packing-lengths")
+    lengths = histogram.groupBy("_window").agg(F.collect_list(F.struct("length", "n")).alias("_lengths"))
+    runs = materialize(
+        lengths.mapInArrow(_planned(capacity), "_window long, used long, length long, first long, n long, sequence long, offset long"),
+        "packing-runs",
+    )
+    # One row a window: where its sequences start, and the runs of each of its lengths.
+    earlier = Window.orderBy("_window").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.groupBy("_window").agg(F.max("used").alias("_used")).select(
+        "_window", F.coalesce(F.sum("_used").over(earlier), F.lit(0)).alias("_start")
+    )
+    laid = (
+        runs.join(starts, "_window")
+        .select("_window", "length", F.struct("first", (F.col("sequence") + F.col("_start")).alias("sequence"), "offset").alias("_run"))
+        .groupBy("_window", "length").agg(F.collect_list("_run").alias("_runs"))
+    )
+    # Lengths with many pieces in a window are ranked in ranges of their order, then of a hash.
+    keys = ["_window", "length", "_slot"]
+    many = histogram.filter(F.col("n") > pieces_per_slot).select("_window", "length", F.ceil(F.col("n") / pieces_per_slot).alias("_slots"))
+    within = F.pmod(F.xxhash64("doc_id", "piece"), F.coalesce("_slots", F.lit(1)))
+    light = made.join(many, ["_window", "length"], "left").withColumn(
+        "_slot", F.when(F.col("_slots").isNull(), F.lit(0)).otherwise(F.pmod("_order", F.lit(window)) * F.col("_slots") + within).cast("long")
+    ).drop("_slots")
+    counted = light.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_window", "length").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    table = materialize(
+        counted.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).join(laid, ["_window", "length"]),
+        "packing-places",
+    )
+    inside = Window.partitionBy(*keys).orderBy("_order", "doc_id", "piece", "ids_crc32", "start")
+    rank = F.col("_in") + F.col("_before")
+    names = [c for c in made.columns if c not in ("_order", "_window")]
+    return (
+        light.withColumn("_in", F.row_number().over(inside).cast("long") - 1)
+        .join(table, keys)
+        .withColumn("_rank", rank)
+        .withColumn("_run", F.array_max(F.filter("_runs", lambda r: r["first"] <= F.col("_rank"))))
+        .select(*names, (F.col("_run.sequence") + F.col("_rank") - F.col("_run.first")).alias("sequence_id"), F.col("_run.offset").alias("offset"))
+    )
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
