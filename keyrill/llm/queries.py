@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keyrill.llm import chat, langid, mixing, packing, quality, sharding, simhash, spotsigs, suffix_dedup, warc
+from keyrill.llm import chat, langid, mixing, packing, quality, sharding, simhash, spotsigs, suffix_dedup, token_files, warc
 from keyrill.llm.oracle import ORACLE  # noqa: F401
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,7 +56,11 @@ def op10_kernel_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.language_digest(_read(spark, folder, "documents"))
 
 
+def op13_elias_fano_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.token_digest(_read(spark, folder, "documents"), WORD_TOKENIZER)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pattern_packing, op2_suffix_dedup, op3_pfair_mixing, op4_spotsigs, op5_warc_bundles, op6_simhash_dedup,
-    op7_quality_rules, op8_chat_format, op9_extendible_sharding, op10_kernel_language,
+    op7_quality_rules, op8_chat_format, op9_extendible_sharding, op10_kernel_language, op13_elias_fano_ids,
 )}
