@@ -47,7 +47,9 @@ from keyrill.sinks.files import filesystem, qualified
 END_ID = 1
 FILE_BYTES = 32 << 20
 SAMPLE = 256
-KEPT_WORDS = 1 << 19
+KEPT_WORDS = 1 << 16
+TEXTS_AT_ONCE = 64
+DOCUMENTS_AT_ONCE = 1 << 10
 LONGEST_KEPT = 64
 
 MAGIC = b"krtok\x00\x00\x01"
@@ -140,7 +142,7 @@ class EliasFano:
         ones = (self.low[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
         return high | (ones.astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum(1, dtype=np.uint64)
 
-    def values(self, chunk: int = 1 << 14) -> Iterator[np.ndarray]:
+    def values(self, chunk: int = DOCUMENTS_AT_ONCE) -> Iterator[np.ndarray]:
         for at in range(0, self.n, chunk):
             yield self[np.arange(at, min(at + chunk, self.n))]
 
@@ -318,8 +320,8 @@ def _write(folder: str, tokenizer: str, end_id: int, file_bytes: int):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds, strict=True)], names=["file", "part", "number", "documents", "ids"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                some = batch.slice(at, TEXTS_AT_ONCE)
                 texts = [t or "" for t in some.column(1).to_pylist()]
                 for doc_id, ids in zip(some.column(0).to_pylist(), encode(texts), strict=True):
                     if ends and ends[-1] * size + len(ids) >= file_bytes:
