@@ -187,6 +187,8 @@ class WordEncoder:
 
     def _words(self, words: list[bytes]) -> list[bytes]:
         """The ids of words without white space, one by one."""
+        if not words:
+            return []
         # Latin letters, which every normalizer here only lowers, are one piece of the word pattern; so are marks after them.
         parts = LATIN_WORD.findall(b"\n".join(words).decode())
         low = "\n".join([head for head, _, _ in parts]).lower()
