@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyrill.llm import chat, langid, mixing, packing, quality, runs, sharding, simhash, spotsigs, suffix_dedup, token_files, warc
+from keyrill.llm import chat, langid, mixing, packing, quality, repair, runs, sharding, simhash, spotsigs, suffix_dedup, token_files, warc
 from keyrill.llm.oracle import ORACLE  # noqa: F401
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -62,11 +62,16 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.run_digest(documents.withColumn("text", runs.planted(F.col("doc_id"), F.col("text"))))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.audit(repair.damaged(_read(spark, folder, "conversations")))
+
+
 def op13_elias_fano_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_digest(_read(spark, folder, "documents"), WORD_TOKENIZER)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_pattern_packing, op2_suffix_dedup, op3_pfair_mixing, op4_spotsigs, op5_warc_bundles, op6_simhash_dedup,
-    op7_quality_rules, op8_chat_format, op9_extendible_sharding, op10_kernel_language, op11_periodic_runs, op13_elias_fano_ids,
+    op7_quality_rules, op8_chat_format, op9_extendible_sharding, op10_kernel_language, op11_periodic_runs, op12_conversation_repair,
+    op13_elias_fano_ids,
 )}
