@@ -2,18 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from keyrill.functions.ordering import names, with_keys
 from keyrill.operators.rolling import Keys
-from keyrill.plans.running import largest_ahead, latest, running, total
+from keyrill.plans.running import Among, Scan, ahead, scanned, since_reset, upto
 from keyrill.plans.slices import plan_slices
 
 # Items a text holds at most; every run is cut into parts of this many items.
 MAX_ITEMS = 100_000
 
 
+def _segment_scan(is_marker: Column) -> Scan:
+    """The ``segment`` of each row, which a marker closes, the items before it there, and whether a marker comes at all."""
+    one = lambda c: F.when(c, 1).otherwise(0).cast("long")
+
+    def local(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        counted = rows.withColumns({
+            "_closed": F.sum(one(is_marker)).over(upto(w)), "_items": F.sum(one(~is_marker)).over(upto(w)),
+            "_ends": F.max(is_marker).over(ahead(w)),
+        })
+        based = counted.withColumn("_base", F.last(F.when(is_marker, F.col("_items")), ignorenulls=True).over(upto(w)))
+        return based.withColumns({
+            "segment": F.col("_closed") - one(is_marker), "_since": F.col("_items") - F.coalesce("_base", F.lit(0)),
+        }).withColumn("_within", F.col("_since") - 1).drop("_items", "_base")
+
+    def summary(order: Column) -> dict[str, Column]:
+        return {"_markers": F.max("_closed"), "_tail": F.max_by("_since", order)}
+
+    def carry(summaries: DataFrame, among: Among) -> DataFrame:
+        placed = summaries.withColumns({
+            "_c_closed": F.sum("_markers").over(among.before), "_c_ends": F.max(F.col("_markers") > 0).over(among.after),
+        })
+        return since_reset(placed, among, F.col("_markers") > 0, _c_open=F.col("_tail"))
+
+    def finish(rows: DataFrame) -> DataFrame:
+        # Before the first marker of a slice the run of the slices before goes on.
+        first = F.col("segment") == 0
+        return rows.withColumns({
+            "_within": F.col("_within") + F.when(first, F.coalesce("_c_open", F.lit(0))).otherwise(0),
+            "_ends": F.col("_ends") | F.coalesce("_c_ends", F.lit(False)),
+            "segment": F.col("segment") + F.coalesce("_c_closed", F.lit(0)),
+        })
+
+    return Scan(local, summary, carry, ["_c_closed", "_c_ends", "_c_open"], finish)
+
+
 def marker_segments(
     df: DataFrame,
     keys: Keys,
@@ -32,21 +67,12 @@ def marker_segments(
     order = names(order_by)
     is_marker = F.col(item).eqNullSafe(F.lit(marker))
     plan = plan_slices(df, key_names, order, rows_per_slice)
-    one = lambda c: F.when(c, 1).otherwise(0).cast("long")
-    counted = running(
-        plan.assign(df), plan,
-        _closed=total(one(is_marker)), _items=total(one(~is_marker)), _ends=largest_ahead(one(is_marker)),
-    )
-    placed = running(counted, plan, _base=latest(F.when(is_marker, F.col("_items"))))
-    # A marker belongs to the run it closes.
-    numbered = placed.withColumn("segment", F.col("_closed") - one(is_marker))
-    within = F.col("_items") - F.coalesce("_base", F.lit(0)) - 1
-
+    numbered = scanned(plan.assign(df), plan, _segment_scan(is_marker))
     run = [*key_names, "segment"]
     entry = F.struct(*[F.col(o).alias(f"order_{i}") for i, o in enumerate(order)], F.coalesce(item, F.lit("null")).alias("item"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.concat(F.lit(" "), e["item"])), "")
     parts = (
-        numbered.filter(~is_marker & (F.col("_ends") == 1)).withColumn("part", F.floor(within / max_items).cast("long"))
+        numbered.filter(~is_marker & F.col("_ends")).withColumn("part", F.floor(F.col("_within") / max_items).cast("long"))
         .groupBy(*run, "part").agg(F.count(F.lit(1)).alias("size"), text.alias("text"))
     )
     return parts.select(*run, "part", "size", "text")

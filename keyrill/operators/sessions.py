@@ -4,22 +4,80 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from keyrill.functions.ordering import Key, names, with_keys
-from keyrill.plans.running import latest, position, previous, running, total
-from keyrill.plans.slices import SLICE, SlicePlan, plan_slices
+from keyrill.plans.running import Among, Scan, scanned, since_reset, upto
+from keyrill.plans.slices import SlicePlan, plan_slices
 
 SESSION = "session_start"
 SIDE = "side"
 
 
+def _session_scan(time: str, gap: int) -> Scan:
+    """``session_start`` of each row, ``opens`` (it begins one), and its ``arrival`` within the key; of the session so far
+    ``n_left`` and ``n_all``.
+
+    In a slice its first row begins a session for the time being. Whether it does shows in the last time before the slice; if not, the rows
+    up to the next beginning belong to the session carried here, with what it holds so far.
+    """
+    is_left = (F.when(F.col(SIDE) == "left", 1).otherwise(0)).cast("long")
+
+    def local(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        boxed = F.struct(F.col(time).alias("value"))
+        held = rows.withColumns({
+            "_before": F.lag(boxed).over(w), "arrival": F.row_number().over(w).cast("long"),
+            "_left": F.sum(is_left).over(upto(w)) if SIDE in rows.columns else F.lit(0).cast("long"),
+        })
+        far = F.col(time) - F.col("_before.value") > gap
+        one = is_left if SIDE in rows.columns else F.lit(0).cast("long")
+        marked = held.withColumns({
+            "opens": F.coalesce(F.col("_before").isNull() | far, F.lit(False)),
+            "_outside": F.when(F.col("_before").isNull() | far, F.struct(
+                F.col(time).alias("time"), (F.col("_left") - one).alias("left"), (F.col("arrival") - 1).alias("all"))),
+        })
+        begun = marked.withColumns({
+            "_base": F.last("_outside", ignorenulls=True).over(upto(w)),
+            "_inner": F.max(F.col("opens") & F.col("_before").isNotNull()).over(upto(w)),
+        })
+        return begun.withColumns({
+            SESSION: F.col("_base.time"), "n_left": F.col("_left") - F.col("_base.left"), "n_all": F.col("arrival") - F.col("_base.all"),
+        }).drop("_left", "_base", "_outside")
+
+    def summary(order: Column) -> dict[str, Column]:
+        last = F.struct(F.col(time).alias("time"), SESSION, "n_left", "n_all")
+        return {
+            "_rows": F.count(F.lit(1)), "_first": F.min_by(F.struct(F.col(time).alias("time")), order),
+            "_last": F.max_by(last, order), "_begins": F.max("_inner"),
+        }
+
+    def carry(summaries: DataFrame, among: Among) -> DataFrame:
+        last = F.lag(F.struct("_last.time")).over(among.in_order)
+        apart = F.coalesce(last.isNull() | (F.col("_first.time") - last["time"] > gap), F.lit(False))
+        known = summaries.withColumn("_apart", apart).withColumn("_reset", F.col("_apart") | F.col("_begins"))
+        own = F.when(F.col("_reset"), F.struct(F.when(F.col("_begins"), F.col(f"_last.{SESSION}")).otherwise(F.col("_first.time")).alias("value")))
+        placed = known.withColumns({
+            "_c_apart": F.col("_apart"), "_c_start": F.last(own, ignorenulls=True).over(among.before),
+            "_c_rows": F.sum("_rows").over(among.before),
+        })
+        return since_reset(placed, among, F.col("_reset"), _c_left=F.col("_last.n_left"), _c_all=F.col("_last.n_all"))
+
+    def finish(rows: DataFrame) -> DataFrame:
+        goes_on = ~F.col("_inner") & ~F.coalesce("_c_apart", F.lit(True))
+        more = lambda c: F.when(goes_on, F.coalesce(F.col(c), F.lit(0))).otherwise(0)
+        return rows.withColumns({
+            SESSION: F.when(goes_on, F.col("_c_start.value")).otherwise(F.col(SESSION)),
+            "n_left": F.col("n_left") + more("_c_left"), "n_all": F.col("n_all") + more("_c_all"),
+            "arrival": F.col("arrival") + F.coalesce("_c_rows", F.lit(0)),
+            "opens": F.col("opens") & ~(F.col("_before").isNull() & goes_on),
+        })
+
+    return Scan(local, summary, carry, ["_c_apart", "_c_start", "_c_rows", "_c_left", "_c_all"], finish)
+
+
 def _start_sessions(df: DataFrame, plan: SlicePlan, time: str, gap: int) -> DataFrame:
-    held = running(df, plan, _before=previous(F.col(time)))
-    opens = F.col("_before").isNull() | (F.col(time) - F.col("_before.value") > gap)
-    marked = held.withColumn("_opens", F.when(opens, F.col(time))).drop("_before")
-    return running(marked, plan, **{SESSION: latest(F.col("_opens"))})
+    return scanned(df, plan, _session_scan(time, gap))
 
 
 def sessionize(
@@ -32,7 +90,7 @@ def sessionize(
     """
     df, key_names = with_keys(df, keys)
     plan = plan_slices(df, key_names, [time, *names(order_by)], rows_per_slice)
-    return _start_sessions(plan.assign(df), plan, time, gap).drop("_opens", SLICE)
+    return _start_sessions(plan.assign(df), plan, time, gap).select(*df.columns, SESSION)
 
 
 def _both(left: DataFrame, right: DataFrame, keys: list[str], time: str, tie: list[str]) -> DataFrame:
@@ -85,8 +143,7 @@ def session_join_per_element(
     ``arrival`` is the position of that row within its key. The pairs so far at an arrival are
     those up to it, so emitting each again at every later one would add rows only.
     """
-    rows, plan = two_sided_sessions(left, right, keys, time, gap, order_by, rows_per_slice)
-    rows = running(rows, plan, arrival=position())
+    rows, _ = two_sided_sessions(left, right, keys, time, gap, order_by, rows_per_slice)
     pairs = _pairs(rows, names(keys), "arrival")
     return pairs.withColumn("arrival", F.greatest("left_arrival", "right_arrival")).drop("left_arrival", "right_arrival")
 
@@ -109,17 +166,10 @@ def session_cogroup_per_element(
     left: DataFrame, right: DataFrame, keys, time: str, gap: int, order_by, rows_per_slice=None
 ) -> DataFrame:
     """The sizes of both groups so far, emitted at each arrival in the session."""
-    rows, plan = two_sided_sessions(left, right, keys, time, gap, order_by, rows_per_slice)
-    is_left = F.when(F.col(SIDE) == "left", 1).otherwise(0).cast("long")
-    rows = running(rows, plan, _left=total(is_left), arrival=position())
-    outside = F.struct((F.col("_left") - is_left).alias("left"), (F.col("arrival") - 1).alias("all"))
-    opened = rows.withColumn("_outside", F.when(F.col("_opens").isNotNull(), outside))
-    opened = running(opened, plan, _base=latest(F.col("_outside")))
-    n_left = F.col("_left") - F.col("_base.left")
-    n_all = F.col("arrival") - F.col("_base.all")
-    return opened.select(
+    rows, _ = two_sided_sessions(left, right, keys, time, gap, order_by, rows_per_slice)
+    return rows.select(
         *names(keys), time, *names(order_by), SIDE, SESSION, "arrival",
-        n_left.alias("n_left"), (n_all - n_left).alias("n_right"),
+        "n_left", (F.col("n_all") - F.col("n_left")).alias("n_right"),
     )
 
 

@@ -49,3 +49,20 @@ def test_no_python_and_no_cross_joins_in_batch_operators(plan):
 def test_word_count_combines_before_the_shuffle(plan):
     text = plan("word_count")
     assert text.index("partial_count") < text.index("Exchange", text.index("partial_count"))
+
+
+SLICED = {
+    "keyed_running_sum": 2, "idle_timeout_count": 2, "marker_segments": 2, "marker_segments_global": 2, "session_cogroup": 2,
+    "session_cogroup_per_element": 2, "broadcast_enrich_asof": 2, "count_window_all_reduce": 2, "session_join_per_element": 4,
+}
+
+
+@pytest.mark.parametrize("name", list(SLICED))
+def test_sliced_plans_read_rows_and_carries_once(plan, monkeypatch, name):
+    """The rows with their values inside slices, and what is carried; a join of two sides reads them for each."""
+    from keyrill.plans import slices
+
+    monkeypatch.setattr(slices, "ROWS_PER_SLICE", 30)
+    text = plan(name)
+    scans = re.findall(r"^\(\d+\) Scan parquet", text, re.M)
+    assert len(scans) == SLICED[name] and "_c_" in text, text
