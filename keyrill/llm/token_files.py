@@ -33,6 +33,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -158,6 +159,7 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.kept: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.by_word = False
         self.symbols = {b: c for c, b in byte_symbols().items() if b != 10}  # line ends part the words
         self.code = [np.array([i], self.kind).tobytes() for i in range(self.tokenizer.get_vocab_size())]
@@ -193,12 +195,13 @@ class WordEncoder:
         parts = LATIN_WORD.findall(b"\n".join(words).decode())
         low = "\n".join([head for head, _, _ in parts]).lower()
         pieces = low.encode().decode("latin-1").translate(self.symbols).split("\n")
-        tokenize, code = self.tokenizer.model.tokenize, self.code
-        marks = {mark: b"".join([code[t.id] for t in tokenize(mark)]) if mark else b"" for mark in {m for _, m, _ in parts}}
-        found = [
-            b"".join([code[t.id] for t in tokenize(piece)]) + marks[mark] if piece else b""
-            for piece, (_, mark, _) in zip(pieces, parts, strict=True)
-        ]
+        tokenize, code, known = self.tokenizer.model.tokenize, self.code, self.pieces
+        if len(known) > KEPT_WORDS:
+            known.clear()
+        # Words that differ in capitals or marks share their pieces.
+        for piece in {*pieces, *(mark for _, mark, _ in parts)} - known.keys():
+            known[piece] = b"".join([code[t.id] for t in tokenize(piece)]) if piece else b""
+        found = [known[piece] + known[mark] for piece, (_, mark, _) in zip(pieces, parts, strict=True)]
         other = [i for i, (head, _, _) in enumerate(parts) if not head]
         for i, ids in zip(other, self._plain([parts[i][2] for i in other]), strict=True):
             found[i] = ids
@@ -211,14 +214,13 @@ class WordEncoder:
         if len(kept) > KEPT_WORDS:
             kept.clear()
         split = [t.encode().split() for t in texts]
-        found = [[*map(kept.get, words)] for words in split]
-        new = list({w for words, ids in zip(split, found, strict=True) for w, k in zip(words, ids, strict=True) if k is None})
-        fresh = dict(zip(new, self._words(new), strict=True))
-        kept.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST_KEPT)
-        return [
-            b"".join([fresh[w] if k is None else k for w, k in zip(words, ids, strict=True)])
-            for words, ids in zip(split, found, strict=True)
-        ]
+        new = list(set(filterfalse(kept.__contains__, chain.from_iterable(split))))
+        kept.update(zip(new, self._words(new), strict=True))
+        found = [b"".join(map(kept.__getitem__, words)) for words in split]
+        for word in new:
+            if len(word) > LONGEST_KEPT:
+                del kept[word]
+        return found
 
 
 def encoder(path: str) -> WordEncoder:
