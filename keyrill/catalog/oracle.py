@@ -147,6 +147,23 @@ IDLE = f"""
     SELECT user_id, time, count FROM n WHERE next_time IS NULL OR next_time - time > {SIX_HOURS}
 """
 
+# Thirds of the events, the last one first; a row is late if it is not after the latest time of the thirds before less six hours.
+PARTED = f"""
+    {EVENTS},
+    ends AS (SELECT min(event_id) AS low, max(event_id) AS high FROM e),
+    thirds AS (
+        SELECT e.*, CASE WHEN event_id >= low + 2 * (high - low) // 3 THEN 0
+                         WHEN event_id < low + (high - low) // 3 THEN 1 ELSE 2 END AS third
+        FROM e, ends
+    ),
+    latest AS (SELECT third, max(time) AS latest FROM thirds GROUP BY third),
+    marks AS (
+        SELECT third, max(latest) OVER (ORDER BY third ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {SIX_HOURS} AS mark
+        FROM latest
+    ),
+    parted AS (SELECT t.*, CASE WHEN time <= mark THEN 1 ELSE 0 END AS is_late FROM thirds t JOIN marks USING (third))
+"""
+
 ECHO = f"WITH {EVENTS} SELECT DISTINCT user_id, time + {SIX_HOURS} AS fire_time FROM e"
 
 
@@ -377,4 +394,8 @@ ORACLE: dict[str, str] = {
     "s_last_value_state": LAST_VALUE,
     "s_last_value_ttl": LAST_VALUE_TTL,
     "s_restart_recovery": _segments("user_id"),
+    "s_late_rows": f"WITH {PARTED} SELECT event_id, user_id, is_late FROM parted",
+    "s_on_time_idle_count": IDLE.replace("FROM e WINDOW", "FROM parted WHERE is_late = 0 WINDOW").replace(EVENTS, PARTED),
 }
+ORACLE |= {f"s_{name}": ORACLE[name] for name in ("session_join", "marker_segments_global")}
+ORACLE["s_count_window_all"] = ORACLE["count_window_all_reduce"]

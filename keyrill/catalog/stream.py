@@ -17,7 +17,8 @@ from keyrill.sinks.files import qualified, write_lines
 from keyrill.sinks.streams import FileRowSink, append_batches
 from keyrill.sources.kafka import bounded_lateness, decode_messages
 from keyrill.sources.text import read_lines, stream_lines
-from keyrill.streaming import processors
+from keyrill.streaming import late, overall, processors
+from keyrill.streaming import sessions as open_sessions
 from keyrill.streaming.harness import disorder, run_append, run_flushed, state_settings, stream_table
 from keyrill.streaming.processors import ordered_state
 
@@ -184,8 +185,99 @@ def s_session_cogroup(spark, folder):
     return run_flushed(spark, timed_stream(spark, folder), grouped, CLOSING, "cogroup")
 
 
+@query
+def s_session_join(spark, folder):
+    delay = disorder(spark, folder, "events", F.unix_millis(F.col("ts").cast("timestamp")))
+
+    def joined(stream: DataFrame) -> DataFrame:
+        timed = with_millis(stream).select("event_id", "user_id", "event_type", "time")
+        left = timed.filter(F.col("event_type").isin("click", "closing"))
+        return open_sessions.session_join(left, of_type(timed, "purchase"), "user_id", "time", 24 * HOUR, delay)
+
+    pairs = run_flushed(spark, timed_stream(spark, folder), joined, CLOSING, "session-join")
+    text = F.format_string("%d == %d", F.col("left.user_id"), F.col("right.user_id"))
+    return pairs.select(
+        "user_id", "session_start", F.col("left.event_id").alias("left_id"), F.col("right.event_id").alias("right_id"), text.alias("text")
+    )
+
+
+# All rows in order, without a key. Events of a cell wait together.
+
+EVENTS_PER_CELL = 1 << 16
+
+
+def in_closed_cells(spark, folder, sink, name: str) -> str:
+    delay = disorder(spark, folder, "events", F.col("event_id"), 1000)
+    stream = event_stream(spark, folder).select("event_id", "user_id", "event_type", "ts", "value", "props")
+
+    def built(rows: DataFrame) -> DataFrame:
+        kept = with_time(rows).select("event_id", "event_type", "cents")
+        return overall.closed_cells(kept, "event_id", EVENTS_PER_CELL, delay, 1000)
+
+    return run_flushed(spark, stream, built, CLOSING, name, sink=sink)
+
+
+@query
+def s_count_window_all(spark, folder):
+    def joined(a, b):
+        return F.struct(
+            a["event_id"].alias("event_id"), F.concat(a["event_type"], b["event_type"]).alias("event_type"),
+            (a["cents"] + b["cents"]).alias("cents"),
+        )
+
+    out = in_closed_cells(spark, folder, lambda f: overall.count_windows_all(f, "event_id", 4, joined), "count-window-all")
+    return spark.read.parquet(f"{out}/out").select(
+        "window_no", F.col("result.event_id").alias("first_id"),
+        F.col("result.event_type").alias("names"), F.col("result.cents").alias("total"),
+    )
+
+
+@query
+def s_marker_segments_global(spark, folder):
+    sink = lambda f: overall.segments_all(f, "event_id", "event_type", "error", PART_ITEMS)
+    out = in_closed_cells(spark, folder, sink, "segments-all")
+    return spark.read.parquet(f"{out}/out").drop("batch")
+
+
 # Event time
 
+# Fixed value: how late, in milliseconds, an event may be in the query of late rows.
+ALLOWED = 6 * HOUR
+
+
+def parted_events(spark, folder) -> tuple[str, DataFrame]:
+    """Events by thirds of event_id, the last third first, each a micro-batch, parted at the allowed lateness."""
+    work = work_dir(spark, "late")
+    events = with_time(table(spark, folder, "events")).select("event_id", "user_id", "cents", "time")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).head()
+    cuts = [low, low + (high - low) // 3, low + 2 * (high - low) // 3, high + 1]
+    parts = [events.filter((F.col("event_id") >= a) & (F.col("event_id") < b)) for a, b in zip(cuts, cuts[1:])]
+    # Closing rows, the second of which comes under the watermark of the first.
+    closing = spark.createDataFrame([(CLOSING["event_id"], -1, 0, 4_000_000_000_000)], events.schema)
+    for part in [parts[2], parts[0], parts[1], closing, closing]:
+        part.write.mode("append").parquet(f"{work}/input")
+        stream = spark.readStream.schema(events.schema).parquet(f"{work}/input")
+        writer = stream.writeStream.foreachBatch(late.part_late(work, "time", ALLOWED)).trigger(availableNow=True)
+        writer.option("checkpointLocation", f"{work}/checkpoint").start().awaitTermination()
+    return work, events
+
+
+@query
+def s_late_rows(spark, folder):
+    work, events = parted_events(spark, folder)
+    on_time = spark.read.schema(events.schema).parquet(f"{work}/on_time/*").withColumn("is_late", F.lit(0))
+    behind = late.late_rows(spark, work, events.schema).withColumn("is_late", F.lit(1))
+    return on_time.unionByName(behind).filter("user_id >= 0").select("event_id", "user_id", "is_late")
+
+
+@query
+def s_on_time_idle_count(spark, folder):
+    work, events = parted_events(spark, folder)
+    stream = late.on_time_stream(spark, work, events.schema).select("user_id", "time", late.HORIZON)
+    idle = processors.IdleTimeout(["user_id"], "time", 6 * HOUR)
+    counted = ordered_state(stream, "user_id", idle, "user_id bigint, time bigint, count bigint", "time", 1, progress=F.col(late.HORIZON))
+    return run_append(counted, "on-time-idle").filter("user_id >= 0")
+
 
 @query
 def s_bounded_lateness(spark, folder):

@@ -124,9 +124,12 @@ def run_flushed(
     last_row: dict,
     name: str,
     partitions: int | None = None,
-) -> DataFrame:
+    sink: Callable[[str], Callable[[DataFrame, int], None]] | None = None,
+) -> DataFrame | str:
     """Run ``build(data)`` to the end of its input, then push event time to the end.
 
+    With a ``sink``, its function for ``foreachBatch`` takes the rows, and the folder it was made for is returned.
+
     After the data a single row ``last_row`` arrives, under a key of its own and far
     ahead in time. It moves the watermark past every open window and timer; it never
     fires its own, as nothing moves the watermark past it. The second run resumes from
@@ -138,7 +141,19 @@ def run_flushed(
     row.limit(0).write.parquet(closing)
     closer = spark.readStream.schema(data.schema).parquet(closing)
     stream = build(data.unionByName(closer))
-    start_to_parquet(stream, folder, partitions=partitions).awaitTermination()
+
+    def run() -> None:
+        if sink is None:
+            start_to_parquet(stream, folder, partitions=partitions).awaitTermination()
+            return
+        writer = stream.writeStream.foreachBatch(sink(folder)).trigger(availableNow=True)
+        with state_settings(spark, partitions):
+            query = writer.option("checkpointLocation", f"{folder}/checkpoint").start()
+        query.awaitTermination()
+
+    run()
     row.coalesce(1).write.mode("append").parquet(closing)
-    start_to_parquet(stream, folder, partitions=partitions).awaitTermination()
+    run()
+    if sink is not None:
+        return folder
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")

@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -347,15 +347,17 @@ def keyed_state(
 
 
 def ordered_state(
-    stream: DataFrame, keys, processor: KeyedProcessor, schema: str, time: str, delay_ms: int, per_ms: int = 1
+    stream: DataFrame, keys, processor: KeyedProcessor, schema: str, time: str, delay_ms: int, per_ms: int = 1,
+    progress: Column | None = None,
 ) -> DataFrame:
     """Run a processor per key, in the order of ``time``, over any cut and order of the input.
 
     ``time`` is a whole number of ``per_ms`` units a millisecond, later than a day before zero.
     ``delay_ms`` is how much earlier than the latest time seen a row may still come
-    (``harness.disorder`` measures it for files).
+    (``harness.disorder`` measures it for files). ``progress`` moves the watermark in place of ``time``, in its unit: a bound
+    that rows to come are not at or before.
     """
-    micros = F.col(time) * (1000 // per_ms) + SHIFT_MS * 1000
+    micros = (F.col(time) if progress is None else progress) * (1000 // per_ms) + SHIFT_MS * 1000
     timed = stream.withColumn("_at", F.timestamp_micros(micros)).withWatermark("_at", f"{delay_ms} milliseconds")
     kinds = [f.dataType.simpleString() for f in stream.schema]
     return timed.groupBy(*names(keys)).transformWithStateInPandas(

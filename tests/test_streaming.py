@@ -57,10 +57,11 @@ def as_rows(frame):
 
 ORDERED = (
     "s_running_sum s_running_max_by s_last_value_state s_last_value_ttl s_marker_segments s_idle_timeout_count s_timer_echo "
-    "s_broadcast_enrich s_interval_join s_session_cogroup s_bounded_lateness s_count_window"
+    "s_broadcast_enrich s_interval_join s_session_cogroup s_bounded_lateness s_count_window "
+    "s_session_join s_count_window_all s_marker_segments_global"
 ).split()
 CASES = [(name, "newest_first") for name in ORDERED] + [
-    (name, "interleaved") for name in ("s_marker_segments", "s_idle_timeout_count", "s_session_cogroup")
+    (name, "interleaved") for name in ("s_marker_segments", "s_idle_timeout_count", "s_session_cogroup", "s_session_join", "s_marker_segments_global")
 ] + [("s_co_process", "in_order"), ("s_running_sum", "in_order")]
 
 
