@@ -33,10 +33,11 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain, filterfalse
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,7 +50,7 @@ END_ID = 1
 FILE_BYTES = 32 << 20
 SAMPLE = 256
 KEPT_WORDS = 1 << 19
-TEXTS_AT_ONCE = 64
+TEXTS_AT_ONCE = 256
 DOCUMENTS_AT_ONCE = 1 << 10
 LONGEST_KEPT = 64
 
@@ -60,7 +61,7 @@ SEQUENCE = "<QQIIII"
 # A word pattern that matches no white space, and normalizers that do not look across it.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LOCAL_NORMALIZERS = ({"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"})
-LATIN_WORD = re.compile(r"(?m)^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|([^\n]+))$")
+LATIN_WORD = re.compile(r"(?m)^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|([^\n]*))$")
 PROBE = "It's 3 o'clock,  naïve\n\n \tÈre ñ 北京  x<|endoftext|> 😀 DON'T\x00!  ́a\x1cb\x85c é İΣΑΣ "
 
 FILES = "file string, part int, number int, documents long, ids long"
@@ -159,7 +160,6 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.kept: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
         self.by_word = False
         self.symbols = {b: c for c, b in byte_symbols().items() if b != 10}  # line ends part the words
         self.code = [np.array([i], self.kind).tobytes() for i in range(self.tokenizer.get_vocab_size())]
@@ -188,20 +188,19 @@ class WordEncoder:
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
     def _words(self, words: list[bytes]) -> list[bytes]:
-        """The ids of words without white space, one by one."""
+        """The ids of words without white space, one by one; the empty one has none."""
         if not words:
             return []
         # Latin letters, which every normalizer here only lowers, are one piece of the word pattern; so are marks after them.
         parts = LATIN_WORD.findall(b"\n".join(words).decode())
         low = "\n".join([head for head, _, _ in parts]).lower()
         pieces = low.encode().decode("latin-1").translate(self.symbols).split("\n")
-        tokenize, code, known = self.tokenizer.model.tokenize, self.code, self.pieces
-        if len(known) > KEPT_WORDS:
-            known.clear()
-        # Words that differ in capitals or marks share their pieces.
-        for piece in {*pieces, *(mark for _, mark, _ in parts)} - known.keys():
-            known[piece] = b"".join([code[t.id] for t in tokenize(piece)]) if piece else b""
-        found = [known[piece] + known[mark] for piece, (_, mark, _) in zip(pieces, parts, strict=True)]
+        tokenize, code = self.tokenizer.model.tokenize, self.code
+        marks = {mark: b"".join([code[t.id] for t in tokenize(mark)]) if mark else b"" for mark in {m for _, m, _ in parts}}
+        found = [
+            b"".join([code[t.id] for t in tokenize(piece)]) + marks[mark] if piece else b""
+            for piece, (_, mark, _) in zip(pieces, parts, strict=True)
+        ]
         other = [i for i, (head, _, _) in enumerate(parts) if not head]
         for i, ids in zip(other, self._plain([parts[i][2] for i in other]), strict=True):
             found[i] = ids
@@ -213,14 +212,23 @@ class WordEncoder:
         kept = self.kept
         if len(kept) > KEPT_WORDS:
             kept.clear()
-        split = [t.encode().split() for t in texts]
-        new = list(set(filterfalse(kept.__contains__, chain.from_iterable(split))))
+        # Splitting, telling words apart and laying out their ids run in Arrow; the dictionary meets each word once a call.
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        new = [*filterfalse(kept.__contains__, words)]
         kept.update(zip(new, self._words(new), strict=True))
-        found = [b"".join(map(kept.__getitem__, words)) for words in split]
-        for word in new:
-            if len(word) > LONGEST_KEPT:
-                del kept[word]
-        return found
+        ids = pa.array([*map(kept.__getitem__, words)], pa.large_binary()).take(coded.indices)
+        if new and max(map(len, new)) > LONGEST_KEPT:
+            for word in new:
+                if len(word) > LONGEST_KEPT:
+                    del kept[word]
+        if not len(ids):
+            return [b""] * len(texts)
+        _, places, data = ids.buffers()
+        ends = np.frombuffer(places, np.int64, len(ids) + 1)[split.offsets.to_numpy()].tolist()
+        data = memoryview(data) if data is not None else b""
+        return [bytes(data[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
 
 
 def encoder(path: str) -> WordEncoder:
