@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from keyrill.catalog.tables import HOUR, MINUTE, events_of, of_type, table
 from keyrill.functions.text import explode_lines, explode_tokens, tokens_of, word_variants
 from keyrill.operators import compose, count_windows, enrich, regroup, rolling, segments, sessions, timeouts, transforms
+from keyrill.operators.aggregates import Aggregate, aggregate_by
 from keyrill.operators.interval import interval_join as join_within
 from keyrill.operators.iterate import iterate
 from keyrill.session import work_dir
@@ -212,8 +213,28 @@ def keyed_running_sum(spark, folder):
 @query
 def custom_partition(spark, folder):
     events = table(spark, folder, "events").select("event_id", "user_id")
+    tasks_each = max(1, spark.sparkContext.defaultParallelism // 4)
+    placed = compose.partition_custom(events, 4, F.col("user_id") % 4, tasks_each)
+    return placed.select("event_id", compose.partition_number(tasks_each).alias("partition"))
+
+
+@query
+def sorted_partitions(spark, folder):
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
     placed = compose.partition_custom(events, 4, F.col("user_id") % 4)
-    return placed.select("event_id", F.spark_partition_id().alias("partition"))
+    ordered = compose.sort_partitions(placed, F.desc("event_type"), "event_id", position="position")
+    return ordered.select("event_id", "event_type", compose.partition_number().alias("partition"), "position")
+
+
+@query
+def keyed_parallelism(spark, folder):
+    # The rows of a user are on one of the seven partitions.
+    events = table(spark, folder, "events").select("event_id", "user_id")
+    spread = compose.set_parallelism(events, 7, "user_id").select("user_id", F.spark_partition_id().alias("partition"))
+    return spread.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("partition").alias("partitions"),
+        F.max(F.when(F.col("partition").between(0, 6), 0).otherwise(1)).alias("outside"),
+    )
 
 
 @query
@@ -379,6 +400,37 @@ def accumulator_count(spark, folder):
     return spark.createDataFrame([(counter.get["words"],)], "words bigint")
 
 
+class Spread(Aggregate):
+    """Number, total, average towards zero, and distance of the smallest and largest of a column."""
+
+    schema = "n bigint, total bigint, average bigint, width bigint"
+
+    def create(self):
+        return 0, 0, None, None
+
+    def add(self, accumulator, rows):
+        values = rows.column("cents").drop_null().to_numpy(zero_copy_only=False)
+        if not len(values):
+            return accumulator
+        return self.merge(accumulator, (len(values), int(values.sum()), int(values.min()), int(values.max())))
+
+    def merge(self, one, other):
+        known = [a for a in (one, other) if a[0]]
+        if len(known) < 2:
+            return known[0] if known else one
+        (n, total, low, high), (m, more, lower, higher) = known
+        return n + m, total + more, min(low, lower), max(high, higher)
+
+    def result(self, accumulator):
+        n, total, low, high = accumulator
+        return (n, total, abs(total) // n * (1 if total >= 0 else -1), high - low) if n else (0, 0, None, None)
+
+
+@query
+def mergeable_aggregate(spark, folder):
+    return aggregate_by(events_of(spark, folder).select("event_type", "cents"), "event_type", Spread())
+
+
 # Count windows
 
 

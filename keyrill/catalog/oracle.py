@@ -282,6 +282,18 @@ ORACLE: dict[str, str] = {
         SELECT p_partkey, v FROM loop WHERE v > 0
     """,
     "keyed_running_sum": RUNNING_SUM,
+    "sorted_partitions": """
+        SELECT event_id, event_type, CAST(user_id % 4 AS INTEGER) AS partition,
+               row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_type DESC, event_id) - 1 AS position
+        FROM events
+    """,
+    "keyed_parallelism": "SELECT user_id, count(*) AS n, 1 AS partitions, 0 AS outside FROM events GROUP BY user_id",
+    "mergeable_aggregate": f"""
+        WITH {EVENTS}
+        SELECT event_type, count(cents) AS n, CAST(sum(cents) AS BIGINT) AS total,
+               CAST(abs(sum(cents)) // count(cents) * sign(sum(cents)) AS BIGINT) AS average, max(cents) - min(cents) AS width
+        FROM e GROUP BY event_type
+    """,
     "custom_partition": "SELECT event_id, CAST(user_id % 4 AS INTEGER) AS partition FROM events",
     "union_streams": """
         SELECT event_id, event_type FROM events WHERE event_type = 'click'

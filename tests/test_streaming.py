@@ -176,3 +176,29 @@ def test_console(spark, sf_dir, tmp_path):
     query = writer.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
     query.awaitTermination()
     assert query.lastProgress["sink"]["numOutputRows"] == 5
+
+
+def test_a_row_bridges_two_open_sessions():
+    import numpy as np
+
+    from keyrill.streaming.sessions import merged
+
+    bounds = [(0, 10, 7), (30, 40, 8), (90, 95, 9)]
+    found = merged(bounds, np.array([20, 60, 52, 200]), 10)
+    assert [(a, b, n, p.tolist()) for a, b, n, p in found] == [(0, 40, [7, 8], [0]), (52, 60, [], [2, 1]), (200, 200, [], [3])]
+    assert merged(bounds, np.array([96]), 10)[0][:3] == (90, 96, [9])
+
+
+def test_parting_again_gives_the_same_rows(spark, tmp_path):
+    """A micro-batch that is run again finds its watermark in the log."""
+    from keyrill.streaming.late import part_late
+
+    store = part_late(str(tmp_path), "time", 10)
+    parts = [[(1, 100), (2, 95), (3, None)], [(4, 90), (5, 91), (6, 130)], [(7, 120), (8, 121)]]
+    frames = [rows(spark, p, "id long, time long") for p in parts]
+    for number, frame in enumerate(frames):
+        store(frame, number)
+        store(frame, number)
+    on_time = spark.read.parquet(f"{tmp_path}/on_time").orderBy("id").select("id", "horizon").collect()
+    assert [tuple(r) for r in on_time] == [(1, 94), (2, 94), (5, 90), (6, 90), (8, 120)]
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/late").collect()) == [3, 4, 7]
