@@ -63,7 +63,7 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
-    return repair.audit(repair.damaged(_read(spark, folder, "conversations")))
+    return repair.audit(repair.damaged(_read(spark, folder, "conversations")), "alive")
 
 
 def op13_elias_fano_ids(spark: SparkSession, folder: str) -> DataFrame:

@@ -19,7 +19,7 @@ the conversation in hand, whatever its texts, and the turns of a long conversati
 
 Defined cases: a null role or text is one space; a null conv_id is a conversation of its own; turns without number come
 first, equal numbers go by role and then by a digest of the text; a role of other initial than u or a is never kept in the grammar but for
-a leading s; rows with ``alive`` false only name their conversation, so one without turns has zeros, an empty audit and an empty text;
+a leading s; rows that are not alive (a column named by the caller) only name their conversation, so one without turns has zeros, an empty audit and an empty text;
 an empty table gives no rows. Extra columns are ignored, whatever their names.
 """
 
@@ -274,11 +274,11 @@ def _streamed(batches: Iterator[pa.RecordBatch], names: list[str], kinds: list[p
         yield taken()
 
 
-def _stream(conversations: DataFrame, schema: str, audits: bool) -> DataFrame:
+def _stream(conversations: DataFrame, schema: str, audits: bool, alive: str | None) -> DataFrame:
     role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"),
-        (F.col("alive") if "alive" in conversations.columns else F.lit(True)).alias("alive"),
+        (F.col(alive) if alive else F.lit(True)).alias("alive"),
     )
     core = F.rtrim("text", F.lit(SPACES))
     marked = rows.select(
@@ -297,14 +297,17 @@ def _stream(conversations: DataFrame, schema: str, audits: bool) -> DataFrame:
     return dealt.mapInArrow(lambda batches: _streamed(batches, names, kinds, audits), schema)
 
 
-def audit(conversations: DataFrame) -> DataFrame:
-    """A row per conversation: its faults, the cost and letters of its repair, and a digest of the repaired turns."""
-    return _stream(conversations, AUDIT, True)
+def audit(conversations: DataFrame, alive: str | None = None) -> DataFrame:
+    """A row per conversation: its faults, the cost and letters of its repair, and a digest of the repaired turns.
 
+    ``alive`` names a boolean column; rows where it is false only name their conversation.
+    """
+    return _stream(conversations, AUDIT, True, alive)
 
-def repair(conversations: DataFrame) -> DataFrame:
+
+def repair(conversations: DataFrame, alive: str | None = None) -> DataFrame:
     """The turns of the repaired conversations, numbered from 0, with the edit that each came by."""
-    return _stream(conversations, REPAIRED, False)
+    return _stream(conversations, REPAIRED, False, alive)
 
 
 def damaged(conversations: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import zlib
 from functools import lru_cache
 
 import pytest
+from pyspark.sql import functions as F
 
 from keyrill.llm import repair
 from keyrill.llm.repair import CUT, FINE, GONE, Table, align, edits
@@ -146,13 +147,13 @@ def fixture():
 
 def test_query_form(spark):
     rows = fixture()
-    frame = spark.createDataFrame([(*r, "x", True) for r in rows], "conv_id long, turn long, role string, text string, phase string, digest boolean")
-    found = {r.conv_id: tuple(r)[1:] for r in repair.audit(repair.damaged(frame.repartition(5))).collect()}
+    frame = spark.createDataFrame([(*r, "x", True) for r in rows], "conv_id long, turn long, role string, text string, phase string, alive boolean").withColumn("alive", F.lit("no"))
+    found = {r.conv_id: tuple(r)[1:] for r in repair.audit(repair.damaged(frame.repartition(5)), "alive").collect()}
     expected = {c: brute(h) for c, h in brute_damage(rows).items()}
     assert found == expected
 
     turns = {}
-    for r in repair.repair(repair.damaged(frame)).orderBy("position").collect():
+    for r in repair.repair(repair.damaged(frame), "alive").orderBy("position").collect():
         assert r.position == len(turns.setdefault(r.conv_id, []))
         turns[r.conv_id].append(f"{r.role}:{r.text}")
     for conv_id, row in expected.items():
@@ -162,8 +163,10 @@ def test_query_form(spark):
 def test_dropped_and_empty(spark):
     frame = spark.createDataFrame([(1, 2, "user", "x", False), (1, 3, None, None, False)], "conv_id long, turn long, role string, text string, alive boolean")
     empty = hashlib.sha256(b"").hexdigest()
-    assert [tuple(r) for r in repair.audit(frame).collect()] == [(1, 0, 0, 0, 0, 0, 0, "", empty)]
-    assert repair.audit(frame.limit(0)).count() == 0 and repair.repair(frame).count() == 0
+    assert [tuple(r) for r in repair.audit(frame, "alive").collect()] == [(1, 0, 0, 0, 0, 0, 0, "", empty)]
+    assert repair.audit(frame.limit(0)).count() == 0 and repair.repair(frame, "alive").count() == 0
+    clashing = frame.withColumn("alive", F.lit("no"))
+    assert [r.blank for r in repair.audit(clashing).collect()] == [1]
 
 
 @pytest.mark.parametrize("batch", ["3", "10000"])
