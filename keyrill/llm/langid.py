@@ -9,8 +9,8 @@ regression, one language against the rest, is solved in that space. Features and
 multiply to one matrix from places to languages, so texts are scored by products of that
 matrix with batches of presence rows.
 
-Training uses at most ``SAMPLE`` texts in all (``MOST_LANGUAGES`` languages), those with the
-smallest hash of each language, equal texts once; the sample reaches the driver as presence bits of
+Training uses at most ``SAMPLE`` texts in all, those with the smallest hash of each language, equal texts once, of the
+``MOST_LANGUAGES`` most frequent languages (of equally frequent ones those first by name; the others stay unlearned); the sample reaches the driver as presence bits of
 fixed size. Prediction goes over whole texts, in tasks, with a matrix of fixed size.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is every text
@@ -71,12 +71,13 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sample(labelled: DataFrame, most: int = SAMPLE) -> list[tuple[str, bytes]]:
     """Languages and packed presence flags of at most ``most`` labelled texts (lang, text), in a fixed order."""
     hashed = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", F.xxhash64("text").alias("h"))
-    languages = hashed.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
-    if languages > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} values of lang; a sample of {most} texts cannot teach them")
-    if not languages:
+    # Of more labels than can be taught, the most frequent ones.
+    taught = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    if not taught:
         return []
-    each = max(2, most // languages)
+    each = max(2, most // len(taught))
+    if len(taught) == MOST_LANGUAGES:
+        hashed = hashed.filter(F.col("lang").isin([r["lang"] for r in taught]))
     first = Window.partitionBy("lang").orderBy("h")
     chosen = hashed.distinct().withColumn("n", F.row_number().over(first)).filter(F.col("n") <= each).select("lang", "h")
     # At most ``most`` rows of a label and a number, so they may be broadcast.

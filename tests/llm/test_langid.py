@@ -46,3 +46,16 @@ def test_scores_are_the_kernel_ridge(spark):
     scores = np.array([f / np.sqrt(f.sum()) for f in flags]) @ matrix
     assert [languages[k] for k in scores.argmax(1)] == [lang for lang, _ in texts]
     assert np.allclose(scores, [[lang == k for k in languages] for lang, _ in texts], atol=1e-3)
+
+
+def test_one_off_labels_do_not_take_the_query_down(spark):
+    """Of 620 labels the most frequent 512 are taught; the large ones are among them."""
+    words = {"en": "the cat sat on the mat and looked at it", "de": "der hund lief durch die straße und über das feld"}
+    rows = [(i, f"{words[lang]} {i % 40}", lang) for i in range(400) for lang in [("en", "de")[i % 2]]]
+    rows += [(1000 + i, f"zzq{i:04d} qxq", f"tag{i:04d}") for i in range(618)]
+    found = langid.language_digest(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len(found) == len(rows)
+    large = [r for r in found if r.doc_id < 1000]
+    assert all(r.lang_pred == ("en", "de")[r.doc_id % 2] for r in large)
+    labels = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string").select("lang", "text"))
+    assert len({lang for lang, _ in labels}) == 512 and len(labels) <= langid.SAMPLE
