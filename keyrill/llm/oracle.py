@@ -104,19 +104,24 @@ WITH docs AS (
 SELECT doc_id, n_bytes, shard, CAST(depth AS INTEGER) AS depth FROM spread JOIN fitting USING (rid, depth)
 """
 
-_P, _B = mixing.PERIOD, mixing.BLOCK_BYTES
+_SUM = "CAST(sum(n) AS BIGINT)"
 
 MIXING = f"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, source, coalesce(strlen(text), 0) AS n,
     CAST(floor(((coalesce(doc_id, 0) % 2147483648) * 2654435761 % 4294967296) * {mixing.CHUNKS} / 4294967296) AS BIGINT) AS chunk
   FROM documents
+), sized AS (
+  SELECT greatest({mixing.BLOCK_BYTES}, CAST(ceil({_SUM} / {mixing.MOST_BLOCKS}) AS BIGINT)) AS bytes FROM docs
+), weights AS (SELECT source, {_SUM} AS total, pow(greatest({_SUM}, 1), {mixing.TEMPER}) AS w FROM docs GROUP BY source),
+period AS (
+  SELECT greatest({mixing.SHORTEST}, {mixing.SLOTS_PER_SOURCE} * count(*), CAST(sum(total // bytes + 1) AS BIGINT)) AS p FROM weights, sized
 ), blocks AS (
-  SELECT doc_id, source, coalesce(sum(n) OVER (
-    PARTITION BY source ORDER BY chunk, doc_id NULLS FIRST, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {_B} AS block
-  FROM docs
-), weights AS (SELECT source, pow(greatest(sum(n), 1), {mixing.TEMPER}) AS w FROM docs GROUP BY source),
-parts AS (SELECT source, w * ({_P} - count(*) OVER ()) / sum(w) OVER () AS exact, {_P} - count(*) OVER () AS free FROM weights),
+  SELECT doc_id, source, coalesce(CAST(sum(n) OVER (
+    PARTITION BY source ORDER BY chunk, doc_id NULLS FIRST, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) // bytes AS block
+  FROM docs, sized
+), above AS (SELECT source, greatest(w * p / sum(w) OVER () - 1, 0) AS above, p - count(*) OVER () AS free FROM weights, period),
+parts AS (SELECT source, above * free / greatest(sum(above) OVER (), 1e-300) AS exact, free FROM above),
 shares AS (
   SELECT source, CAST(1 + floor(exact) + CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, source NULLS FIRST)
     <= free - sum(floor(exact)) OVER () THEN 1 ELSE 0 END AS BIGINT) AS share FROM parts
@@ -126,16 +131,16 @@ slots(t, done, pick) AS (
   UNION ALL
   SELECT t, list_transform(done, lambda n, k: CASE WHEN k = best THEN n + 1 ELSE n END), best FROM (
     SELECT t + 1 AS t, done, list_sort(list_filter(list_transform(range(1, len(done) + 1), lambda k:
-      CASE WHEN done[k] * {_P} // share[k] <= t + 1 THEN {{'d': ((done[k] + 1) * {_P} + share[k] - 1) // share[k], 'k': k}} END),
+      CASE WHEN done[k] * p // share[k] <= t + 1 THEN {{'d': ((done[k] + 1) * p + share[k] - 1) // share[k], 'k': k}} END),
       lambda o: o IS NOT NULL))[1].k AS best
-    FROM slots, sources WHERE t + 1 < {_P})
+    FROM slots, sources, period WHERE t + 1 < p)
 ), laid AS (
   SELECT names[pick] AS source, share[pick] AS share, t AS place, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS turn
   FROM slots, sources WHERE t >= 0
 )
-SELECT doc_id, b.source, block, block * {_P} // share AS release, ((block + 1) * {_P} + share - 1) // share AS deadline,
-  block // share * {_P} + place AS slot
-FROM blocks b JOIN laid l ON b.source IS NOT DISTINCT FROM l.source AND b.block % l.share = l.turn
+SELECT doc_id, b.source, block, block * p // share AS release, ((block + 1) * p + share - 1) // share AS deadline,
+  block // share * p + place AS slot
+FROM period, blocks b JOIN laid l ON b.source IS NOT DISTINCT FROM l.source AND b.block % l.share = l.turn
 """
 
 ORACLE = {

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from keyrill.session import work_dir
 
@@ -24,6 +26,19 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, used: list[str]) -> tuple[DataFrame, Callable[[str], Column]]:
+    """``docs`` with its other columns in one struct, and how to get a column of ``docs`` back from it.
+
+    An operator that names columns of its own works on the first, so that no column of the caller's is taken
+    for one of these; names compare without regard to case, as Spark's do. The struct is called ``_others``, which operators leave alone.
+    """
+    known = {u.lower() for u in used}
+    others = [c for c in docs.columns if c.lower() not in known]
+    held = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("_others")] if others else []
+    slim = docs.select(*[c for c in docs.columns if c.lower() in known], *held)
+    return slim, lambda c: F.col("_others").getField(c).alias(c) if c in others else F.col(c)
+
+
 def remember(spark: SparkSession, path: str) -> None:
     """Remove ``path`` when the driver's Python ends."""
     if not _written:
