@@ -10,7 +10,8 @@ runs (length, first rank, count, first sequence, offset). Its size depends on th
 of lengths, ``capacity`` at most, never on the corpus, so it is made on the driver and broadcast.
 A piece finds its place by its length and its rank among pieces of that length.
 
-``pack_in_order`` does the same for each window of an order column, so that sequences follow that order.
+``pack_in_order`` does the same for each window of an order column, so that sequences follow that order, and
+``pack_as_written`` for windows of tokens in the order of the files. Both rank rows without ids and join the ids once.
 
 Tokenizing, ranking and placing are distributed. Ranks come from counts per (length, slot)
 with slots of a bounded number of pieces, so a common length is not ranked by one task.
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +38,7 @@ from keyrill.llm.storage import materialize
 CAPACITY = 2048
 END_ID = 0
 PIECES_PER_SLOT = 4_096
+PIECE = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
 # The word pattern of byte-level tokenizers.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -292,11 +295,60 @@ def pack_in_order(
     Each ``window`` of consecutive values is packed for itself, in a task, and its sequences are numbered after
     those of the windows before. Within a window, pieces of one length take their places in ``order`` too.
     """
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     slim = docs.select(F.col("doc_id").cast("long"), "text", F.col(order).cast("long").alias("_order"))
-    cut = slim.mapInArrow(_pieces(tokenizer, capacity, with_ids, ["_order"]), schema + ", _order long")
-    made = materialize(cut.withColumn("_window", F.floor(F.col("_order") / window).cast("long")), "pieces")
-    histogram = materialize(made.groupBy("_window", "length").agg(F.count(F.lit(1)).alias("n")), "packing-lengths")
+    made = _written(slim, tokenizer, capacity, with_ids, {"_order": "long"})
+    narrow = made.select("_row", *PIECE, "_order").withColumn("_window", F.floor(F.col("_order") / window).cast("long"))
+    return _in_windows(made.drop("_order"), narrow, window, capacity, pieces_per_slot)
+
+
+def pack_as_written(
+    docs: DataFrame,
+    tokenizer: str,
+    window: int,
+    capacity: int = CAPACITY,
+    with_ids: bool = True,
+    pieces_per_slot: int = PIECES_PER_SLOT,
+) -> DataFrame:
+    """As ``pack_in_order``, in the order in which the rows of ``docs`` stand in the files it is read from.
+
+    Files go by the number of the task that wrote them, then by name. A window is ``window`` consecutive tokens. Documents
+    that are not read from files are written first.
+    """
+    try:
+        docs.select(docs.metadataColumn("_metadata"))
+    except AnalysisException:
+        docs = materialize(docs, "packing-documents")
+    at = docs.metadataColumn("_metadata")
+    number = F.regexp_extract(at.getField("file_name"), r"part-(\d+)", 1)
+    slim = docs.select(
+        F.col("doc_id").cast("long"), "text",
+        F.when(number != "", number).otherwise("0").cast("long").alias("_number"),
+        at.getField("file_path").alias("_file"), at.getField("row_index").alias("_index"),
+    )
+    made = _written(slim, tokenizer, capacity, with_ids, {"_number": "long", "_file": "string", "_index": "long"})
+    file = ["_number", "_file"]
+    sums = made.groupBy(*file).agg(F.sum("length").alias("_sum"))  # a row per file
+    earlier = Window.orderBy(*file).rowsBetween(Window.unboundedPreceding, -1)
+    starts = materialize(sums.select(*file, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before")), "packing-files")
+    inside = Window.partitionBy(*file).orderBy("_index", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    placed = made.select("_row", *PIECE, *file, "_index").join(starts, file)
+    order = F.col("_before") + F.coalesce(F.sum("length").over(inside), F.lit(0))
+    narrow = placed.withColumn("_order", order).select("_row", *PIECE, "_order", F.floor(F.col("_order") / window).cast("long").alias("_window"))
+    return _in_windows(made.drop(*file, "_index"), narrow, window, capacity, pieces_per_slot)
+
+
+def _written(slim: DataFrame, tokenizer: str, capacity: int, with_ids: bool, more: dict[str, str]) -> DataFrame:
+    """The pieces of documents, written once, with columns passed on and a number of their own (``_row``)."""
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    schema += "".join(f", {name} {kind}" for name, kind in more.items())
+    cut = slim.mapInArrow(_pieces(tokenizer, capacity, with_ids, list(more)), schema)
+    return materialize(cut.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+
+
+def _in_windows(made: DataFrame, narrow: DataFrame, window: int, capacity: int, pieces_per_slot: int) -> DataFrame:
+    """``made`` with sequences by ``_window`` and ``_order`` of ``narrow``, its rows without ids, which alone are ranked."""
+    narrow = materialize(narrow, "packing-order")
+    histogram = materialize(narrow.groupBy("_window", "length").agg(F.count(F.lit(1)).alias("n")), "packing-lengths")
     lengths = histogram.groupBy("_window").agg(F.collect_list(F.struct("length", "n")).alias("_lengths"))
     runs = materialize(
         lengths.mapInArrow(_planned(capacity), "_window long, used long, length long, first long, n long, sequence long, offset long"),
@@ -316,7 +368,7 @@ def pack_in_order(
     keys = ["_window", "length", "_slot"]
     many = histogram.filter(F.col("n") > pieces_per_slot).select("_window", "length", F.ceil(F.col("n") / pieces_per_slot).alias("_slots"))
     within = F.pmod(F.xxhash64("doc_id", "piece"), F.coalesce("_slots", F.lit(1)))
-    light = made.join(many, ["_window", "length"], "left").withColumn(
+    light = narrow.join(many, ["_window", "length"], "left").withColumn(
         "_slot", F.when(F.col("_slots").isNull(), F.lit(0)).otherwise(F.pmod("_order", F.lit(window)) * F.col("_slots") + within).cast("long")
     ).drop("_slots")
     counted = light.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -325,16 +377,16 @@ def pack_in_order(
         counted.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).join(laid, ["_window", "length"]),
         "packing-places",
     )
-    inside = Window.partitionBy(*keys).orderBy("_order", "doc_id", "piece", "ids_crc32", "start")
-    rank = F.col("_in") + F.col("_before")
-    names = [c for c in made.columns if c not in ("_order", "_window")]
-    return (
+    inside = Window.partitionBy(*keys).orderBy("_order", "doc_id", "piece", "ids_crc32", "start", "_row")
+    placed = (
         light.withColumn("_in", F.row_number().over(inside).cast("long") - 1)
         .join(table, keys)
-        .withColumn("_rank", rank)
+        .withColumn("_rank", F.col("_in") + F.col("_before"))
         .withColumn("_run", F.array_max(F.filter("_runs", lambda r: r["first"] <= F.col("_rank"))))
-        .select(*names, (F.col("_run.sequence") + F.col("_rank") - F.col("_run.first")).alias("sequence_id"), F.col("_run.offset").alias("offset"))
+        .select("_row", (F.col("_run.sequence") + F.col("_rank") - F.col("_run.first")).alias("sequence_id"), F.col("_run.offset").alias("offset"))
     )
+    names = [c for c in made.columns if c != "_row"]
+    return made.join(placed, "_row").select(*names, "sequence_id", "offset")
 
 
 def pack(
