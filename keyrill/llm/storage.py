@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from keyrill.session import work_dir
 
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -17,13 +19,26 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back.
 
     It cuts the lineage: later jobs read the files, also after executors are lost. The
-    folder is removed when the driver's Python ends.
+    folder is removed when the driver's Python ends; the shuffle files of the write go when it has ended, as nothing reads them again.
     """
+    return passing(df, purpose)[0]
+
+
+def passing(df: DataFrame, purpose: str) -> tuple[DataFrame, Callable[[], None]]:
+    """``df`` as ``materialize`` gives it, and a call that removes its files once nothing will read them."""
     spark = df.sparkSession
     path = work_dir(spark, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN)
+        else:
+            spark.conf.set(CLEAN, before)
     remember(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), lambda: _delete(spark, path)
 
 
 def set_aside(docs: DataFrame, used: list[str]) -> tuple[DataFrame, Callable[[str], Column]]:
@@ -46,10 +61,14 @@ def remember(spark: SparkSession, path: str) -> None:
     _written.append((spark, path))
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _clean() -> None:
     for spark, path in _written:
         try:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
         except Exception:  # noqa: BLE001  the session may be gone already
             return

@@ -34,13 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyrill.llm import suffixes
-from keyrill.llm.storage import materialize
+from keyrill.llm.storage import materialize, passing
 
 LENGTH = 100
 HOT = 1 << 18
 BLOCK_BYTES = 4 << 20
 SCAN_BYTES = 1 << 16
 LAST = (1 << 63) - 1
+PLACE = np.dtype([("d", "<i8"), ("h", "<i8"), ("start", "<u4")])  # of a run: its document and first byte
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -111,18 +112,17 @@ def _contexts(length: int):
                 same = np.fromiter((index.setdefault(k, len(index)) for k in keys), np.int64)
                 order = np.argsort(same, kind="stable")
                 ends = np.searchsorted(same[order], np.arange(len(index) + 1)).astype(np.int32)
-
-                def listed(values, ends=ends):
-                    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
-
                 rows = of[part][order]
+                places = np.empty(len(rows), PLACE)
+                places["d"], places["h"], places["start"] = d[rows], h[rows], start[part][order]
+                sliced = [None, pa.py_buffer(ends * np.int32(PLACE.itemsize)), pa.py_buffer(places.tobytes())]
                 anchors, hots, bytes_ = zip(*index, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(anchors, pa.int64()), listed(d[rows]), listed(h[rows]), listed(start[part][order]),
+                        pa.array(anchors, pa.int64()), pa.Array.from_buffers(pa.binary(), len(index), sliced),
                         pa.array(bytes_, pa.binary()), pa.array(hots, pa.bool_()),
                     ],
-                    names=["anchor", "_d", "_h", "start", "bytes", "hot"],
+                    names=["anchor", "places", "bytes", "hot"],
                 )
 
     return cut
@@ -188,12 +188,13 @@ def _sorted_blocks(length: int, block_bytes: int):
         size = 0
 
         def spans(table: pa.Table) -> pa.RecordBatch:
-            lists = {n: table.column(n).combine_chunks() for n in ("_d", "_h", "start")}
-            cols = {n: c.flatten().to_numpy() for n, c in lists.items()}
-            of = np.repeat(np.arange(table.num_rows), lists["_d"].value_lengths().to_numpy())
-            row, begin, end = _block_spans(cols["_d"], cols["_h"], cols["start"], of, table.column("bytes").to_pylist(), length)
+            lists = table.column("places").to_pylist()
+            places = np.frombuffer(b"".join(lists), PLACE)
+            of = np.repeat(np.arange(len(lists)), [len(p) // PLACE.itemsize for p in lists])
+            d, h, start = (np.ascontiguousarray(places[n], np.int64) for n in PLACE.names)
+            row, begin, end = _block_spans(d, h, start, of, table.column("bytes").to_pylist(), length)
             return pa.RecordBatch.from_arrays(
-                [pa.array(cols["_d"][row]), pa.array(cols["_h"][row]), pa.array(begin), pa.array(end)],
+                [pa.array(d[row]), pa.array(h[row]), pa.array(begin), pa.array(end)],
                 names=["_d", "_h", "begin", "end"],
             )
 
@@ -225,23 +226,19 @@ def _string_digests(length: int):
             for row in range(batch.num_rows):
                 context = batch.column("bytes")[row].as_py()
                 n = len(context) - length + 1
-                start = batch.column("start")[row].as_py()
-                digests = [hashlib.blake2b(context[i : i + length], digest_size=16).digest() for i in range(n)]
-                repeat = pa.array(np.full(n, row))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("_d").take(repeat), batch.column("_h").take(repeat),
-                        pa.array(np.arange(start, start + n)), pa.array(digests, pa.binary()),
-                    ],
-                    names=["_d", "_h", "at", "digest"],
-                )
+                digests = pa.array([hashlib.blake2b(context[i : i + length], digest_size=16).digest() for i in range(n)], pa.binary())
+                for d, h, start in np.frombuffer(batch.column("places")[row].as_py(), PLACE).tolist():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, d)), pa.array(np.full(n, h)), pa.array(np.arange(start, start + n)), digests],
+                        names=["_d", "_h", "at", "digest"],
+                    )
 
     return keyed
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Rows (_d, _h, spans): the byte spans [begin, end) of repeats in each document that has any; they may overlap."""
-    runs = materialize(
+    runs, drop_runs = passing(
         docs.select(F.monotonically_increasing_id().alias("_u"), "_d", "_h", "text")
         .mapInArrow(_runs(length), "_u long, _d long, _h long, anchor array<long>, place array<long>"),
         "suffix-runs",
@@ -251,25 +248,27 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT, block_
         .filter("n > 1").select("anchor", (F.col("n") > hot).alias("hot")),
         "suffix-anchors",
     )
-    # A run as its anchor and one number: start, number of strings, and whether the anchor is hot.
-    flagged = (
+    # A run as its anchor and one number: start, number of strings, and whether the anchor is hot. Written, so that neither
+    # all runs nor their shuffles are on disk along with the contexts.
+    flagged = materialize(
         runs.select("_u", F.explode(F.arrays_zip("anchor", "place")).alias("r"))
         .select("_u", F.col("r.anchor").alias("anchor"), F.col("r.place").alias("place"))
         .join(repeated, "anchor")
         .select("_u", "anchor", (2 * F.col("place") + F.col("hot").cast("int")).alias("place"))
         .groupBy("_u").agg(F.collect_list(F.struct("anchor", "place")).alias("runs"))
         .join(runs.groupBy("_d", "_h").agg(F.min("_u").alias("_u")), "_u")  # equal rows have the same runs
-        .select("_d", "_h", "runs")
+        .select("_d", "_h", "runs"),
+        "suffix-flagged",
     )
+    drop_runs()
     # The texts are shuffled here and once more where spans are applied, by the same keys and with
     # the same columns, so that one exchange serves both.
     contexts = docs.join(flagged, ["_d", "_h"]).mapInArrow(
-        _contexts(length), "anchor long, _d array<long>, _h array<long>, start array<long>, bytes binary, hot boolean"
+        _contexts(length), "anchor long, places binary, bytes binary, hot boolean"
     )
     if repeated.filter("hot").limit(1).count():
         contexts = materialize(contexts, "suffix-contexts")
-        places = F.explode(F.arrays_zip("_d", "_h", "start")).alias("p")
-        strings = contexts.filter("hot").select(places, "bytes").select("p.*", "bytes").mapInArrow(_string_digests(length), "_d long, _h long, at long, digest binary")
+        strings = contexts.filter("hot").select("places", "bytes").mapInArrow(_string_digests(length), "_d long, _h long, at long, digest binary")
         place = F.struct("_d", "_h", "at")
         least = strings.groupBy("digest").agg(F.min(place).alias("least"))
         more = strings.join(least, "digest").filter(place > F.col("least")).select(

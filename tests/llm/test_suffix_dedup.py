@@ -1,10 +1,13 @@
 import hashlib
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from keyrill.llm import suffix_dedup, suffixes
+from keyrill.llm import storage, suffix_dedup, suffixes
 from keyrill.llm.queries import op2_suffix_dedup
 
 
@@ -45,6 +48,25 @@ def test_short_strings(docs, rows):
     assert found_rows(frame) == brute([(r[0], r[1]) for r in rows], 50)
 
 
+def test_passed_files_go(spark):
+    """Shuffle files of a written table, and a passing table's files, do not stay until the driver ends."""
+    local = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].getPath())
+
+    def files():
+        return {f.name for f in local.glob("*/shuffle_*.data")}
+
+    there = files()
+    table, drop = storage.passing(spark.range(10_000).groupBy((F.col("id") % 977).alias("k")).count().repartition("count"), "passing")
+    end = time.time() + 30
+    while files() - there and time.time() < end:  # Spark removes them in the background
+        time.sleep(0.2)
+    assert not files() - there and spark.conf.get(storage.CLEAN, "false") == "false"
+    folder = Path(table.select("_metadata.file_path").head()[0].removeprefix("file:")).parent
+    assert table.count() == 977 and folder.exists()
+    drop()
+    assert not folder.exists()
+
+
 def test_null_ids_and_empty_tables(spark, empty):
     text = "".join(random.Random(1).choice("abcdef") for _ in range(300))
     frame = spark.createDataFrame([(None, text), (3, text)], "doc_id long, text string")
