@@ -28,6 +28,14 @@ def test_any_number_of_sources(many, broadcast, monkeypatch):
     check_windows(by_source)
 
 
+@pytest.mark.parametrize("options", [{}, {"weights": {"host0": 0.5, "host7": 0.25, None: 0.2, "": 0.05}}])
+def test_broadcast_and_shuffle_give_the_same_rows(many, options, monkeypatch):
+    docs, _ = many
+    plain = sorted(map(tuple, mixing.mix_digest(docs, block_bytes=40, **options).collect()), key=str)
+    monkeypatch.setattr(mixing, "MOST_BROADCAST", 100)
+    assert sorted(map(tuple, mixing.mix_digest(docs, block_bytes=40, **options).collect()), key=str) == plain
+
+
 def plain_layout(shares, period):
     """Slot by slot: of the released blocks the one that is due first, then the larger share, then the name."""
     order = sorted(shares, key=lambda r: (-r[1], r[0] is not None, r[0] or ""))
