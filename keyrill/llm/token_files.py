@@ -10,9 +10,10 @@ a doc_id by binary search, comes from a few words of the file, and no table of 6
     magic, width of an id | documents, ids, documents without doc_id, smallest doc_id | two sequences | ids
 
 Texts are dealt by ranges of doc_id (and of the hash of the text, so that one doc_id with many rows is dealt too) and
-each task writes files of about ``FILE_BYTES`` in that order, under names of the attempt. The table of files is
-written by Spark and names only files of attempts that ended well; the place of a file's first id in the
-whole corpus comes from the sizes in it. Files are read one by one, each in a task.
+each task writes files of about ``FILE_BYTES``, or of ``FILE_DOCUMENTS`` shorter ones, in that order, under names of the attempt: a task holds the
+ids and numbers of one file, and encodes up to ``TEXT_BYTES`` of text, or one longer text, at a time. The table of files is
+written by Spark and names only files of attempts that ended well, its rows brought together first, as a row of each task would be a Parquet file; the place
+of a file's first id in the whole corpus comes from the sizes in it. Files are read one by one, each in a task.
 
 Tokenizing: where the tokenizer drops white space and looks at nothing across it (its normalizer and word pattern are
 checked, and a probe text compared), each word between ASCII white space is encoded once and kept for the next
@@ -48,9 +49,11 @@ from keyrill.sinks.files import filesystem, qualified
 
 END_ID = 1
 FILE_BYTES = 32 << 20
+FILE_DOCUMENTS = 1 << 18
 SAMPLE = 256
 KEPT_WORDS = 1 << 19
 TEXTS_AT_ONCE = 256
+TEXT_BYTES = 4 << 20
 DOCUMENTS_AT_ONCE = 1 << 10
 LONGEST_KEPT = 64
 
@@ -93,7 +96,9 @@ class EliasFano:
         low = np.zeros(0, np.uint8)
         if width:
             shifts = np.arange(width, dtype=np.uint64)
-            low = np.packbits(((values[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+            # Some values at a time, whose low bits fill whole bytes: a bit takes eight bytes until it is packed.
+            some = (values[at : at + DOCUMENTS_AT_ONCE, None] for at in range(0, n, DOCUMENTS_AT_ONCE))
+            low = np.concatenate([np.packbits(((v >> shifts) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little") for v in some])
         return cls(n, width, low, np.packbits(bits, bitorder="little").view("<u8"), ones[::SAMPLE].astype("<u4"))
 
     def to_bytes(self) -> bytes:
@@ -311,6 +316,18 @@ class TokenFile:
             held = held[len(ends):]
 
 
+def portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that are encoded at once, of bounded number and bytes; a longer text goes alone."""
+    begin = held = 0
+    for i, size in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
+        if i - begin == TEXTS_AT_ONCE or i > begin and held + size > TEXT_BYTES:
+            yield begin, i
+            begin, held = i, 0
+        held += size
+    if len(texts):
+        yield begin, len(texts)
+
+
 def _write(folder: str, tokenizer: str, end_id: int, file_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
@@ -332,11 +349,11 @@ def _write(folder: str, tokenizer: str, end_id: int, file_bytes: int):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds, strict=True)], names=["file", "part", "number", "documents", "ids"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                some = batch.slice(at, TEXTS_AT_ONCE)
+            for first, last in portions(batch.column(1)):
+                some = batch.slice(first, last - first)
                 texts = [t or "" for t in some.column(1).to_pylist()]
                 for doc_id, ids in zip(some.column(0).to_pylist(), encode(texts), strict=True):
-                    if ends and ends[-1] * size + len(ids) >= file_bytes:
+                    if ends and (ends[-1] * size + len(ids) >= file_bytes or len(ends) == FILE_DOCUMENTS):
                         yield close(written)
                         doc_ids, ends, held, written = [], [], [], written + 1
                     doc_ids.append(doc_id)
@@ -353,7 +370,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, fi
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"))
     dealt = slim.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    made = materialize(dealt.mapInArrow(_write(qualified(spark, folder), tokenizer, end_id, file_bytes), FILES), "token-files")
+    rows = dealt.mapInArrow(_write(qualified(spark, folder), tokenizer, end_id, file_bytes), FILES)
+    made = materialize(rows.repartition("part"), "token-files")
     # A row per task is accumulated, then a row per file of a task.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = made.groupBy("part").agg(F.sum("ids").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))

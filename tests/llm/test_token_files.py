@@ -1,6 +1,8 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -34,6 +36,22 @@ def test_elias_fano(values):
         assert 8 * end <= len(values) * (3 + max(1, values[-1] // len(values)).bit_length()) + 1000
 
 
+def test_low_bits_are_packed_some_at_a_time():
+    values = np.arange(1 << 17, dtype=np.uint64) << np.uint64(40)
+    tracemalloc.start()
+    coded = EliasFano.of(values)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 << 20 and coded[[0, 1, 4097, len(values) - 1]].tolist() == [0, 1 << 40, 4097 << 40, (len(values) - 1) << 40]
+
+
+def test_texts_are_encoded_by_number_and_bytes():
+    texts = ["a"] * 600 + ["b" * (3 << 20)] * 3 + [None, "c" * (9 << 20), ""]
+    found = [*token_files.portions(pa.array(texts))]
+    assert found == [(0, 256), (256, 512), (512, 601), (601, 602), (602, 604), (604, 605), (605, 606)]
+    assert [*token_files.portions(pa.array([], pa.string()))] == []
+
+
 @pytest.mark.parametrize("path", [WORDS, BYTES])
 def test_encoder_gives_the_ids_of_whole_texts(path, rows):
     encode, expected = WordEncoder(path), plain(path)
@@ -87,6 +105,27 @@ def test_repeated_ids_are_dealt_over_tasks(spark, tmp_path):
     assert files.select("part").distinct().count() > 1 and files.agg(F.sum("documents")).head()[0] == 4000
 
 
+def test_files_of_short_texts_hold_a_bounded_number_of_documents(spark, tmp_path):
+    n = token_files.FILE_DOCUMENTS + 70_000
+    frame = spark.range(n).select(F.lit(7).alias("doc_id"), F.lit("").alias("text"))
+    files = token_files.write(frame, str(tmp_path / "short"), WORDS)
+    assert [r.documents for r in files.orderBy("start").collect()] == [token_files.FILE_DOCUMENTS, 70_000]
+    found = token_files.read(files, str(tmp_path / "short")).agg(F.countDistinct("start"), F.min("start"), F.max("start"), F.sum("n_tokens"))
+    assert tuple(found.head()) == (n, 0, n - 1, n)
+
+
+def test_table_of_files_is_no_file_per_task(spark, docs, tmp_path, monkeypatch):
+    kept, materialize = [], token_files.materialize
+    monkeypatch.setattr(token_files, "materialize", lambda df, purpose: kept.append(materialize(df, purpose)) or kept[-1])
+    small = {"advisoryPartitionSizeInBytes": "1k", "coalescePartitions.minPartitionSize": "1", "coalescePartitions.parallelismFirst": "false"}
+    for key, value in small.items():
+        spark.conf.set(f"spark.sql.adaptive.{key}", value)
+    token_files.write(docs, str(tmp_path / "few"), WORDS)
+    for key in small:
+        spark.conf.unset(f"spark.sql.adaptive.{key}")
+    assert kept[0].select("part").distinct().count() > 1 and len(kept[0].inputFiles()) == 1
+
+
 def test_empty_table(empty, tmp_path):
     files = token_files.write(empty, str(tmp_path / "none"), WORDS)
     assert files.count() == 0 and token_files.read(files, str(tmp_path / "none")).count() == 0
