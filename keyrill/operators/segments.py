@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from keyrill.functions.ordering import names, with_keys
 from keyrill.operators.rolling import Keys
-from keyrill.plans.running import Among, Scan, ahead, scanned, since_reset, upto
+from keyrill.plans.running import Among, Scan, scanned, since_reset, upto, whole
 from keyrill.plans.slices import plan_slices
 
 # Items a text holds at most; every run is cut into parts of this many items.
@@ -21,19 +21,23 @@ def _segment_scan(is_marker: Column) -> Scan:
     def local(rows: DataFrame, w: WindowSpec) -> DataFrame:
         counted = rows.withColumns({
             "_closed": F.sum(one(is_marker)).over(upto(w)), "_items": F.sum(one(~is_marker)).over(upto(w)),
-            "_ends": F.max(is_marker).over(ahead(w)),
+            "_markers": F.sum(one(is_marker)).over(whole(w)),
         })
         based = counted.withColumn("_base", F.last(F.when(is_marker, F.col("_items")), ignorenulls=True).over(upto(w)))
         return based.withColumns({
             "segment": F.col("_closed") - one(is_marker), "_since": F.col("_items") - F.coalesce("_base", F.lit(0)),
-        }).withColumn("_within", F.col("_since") - 1).drop("_items", "_base")
+        }).withColumns({
+            # A marker comes if not all of them came before; a frame from the row to the end would be gone over for each row.
+            "_within": F.col("_since") - 1, "_ends": F.col("segment") < F.col("_markers"),
+        }).drop("_items", "_base", "_markers")
 
     def summary(order: Column) -> dict[str, Column]:
         return {"_markers": F.max("_closed"), "_tail": F.max_by("_since", order)}
 
     def carry(summaries: DataFrame, among: Among) -> DataFrame:
         placed = summaries.withColumns({
-            "_c_closed": F.sum("_markers").over(among.before), "_c_ends": F.max(F.col("_markers") > 0).over(among.after),
+            "_c_closed": F.sum("_markers").over(among.before),
+            "_c_ends": F.sum("_markers").over(upto(among.in_order)) < F.sum("_markers").over(whole(among.in_order)),
         })
         return since_reset(placed, among, F.col("_markers") > 0, _c_open=F.col("_tail"))
 

@@ -23,8 +23,8 @@ def upto(w: WindowSpec) -> WindowSpec:
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def ahead(w: WindowSpec) -> WindowSpec:
-    return w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+def whole(w: WindowSpec) -> WindowSpec:
+    return w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 @dataclass(frozen=True)

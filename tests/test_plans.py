@@ -66,3 +66,13 @@ def test_sliced_plans_read_rows_and_carries_once(plan, monkeypatch, name):
     text = plan(name)
     scans = re.findall(r"^\(\d+\) Scan parquet", text, re.M)
     assert len(scans) == SLICED[name] and "_c_" in text, text
+
+
+@pytest.mark.parametrize("key", [None, "user_id"])
+def test_segments_have_no_frame_that_is_gone_over_for_each_row(spark, key):
+    """A frame from a row to the end of the key costs the square of the key's rows."""
+    from keyrill.operators.segments import marker_segments
+
+    events = spark.createDataFrame([(1, 1, "a"), (2, 1, "error"), (3, 1, "a")], "event_id long, user_id long, event_type string")
+    text = plan_of(marker_segments(events, key, "event_id", "event_type", "error"))
+    assert "unboundedpreceding" in text and not re.search(r"specifiedwindowframe\(\w+, (?!unboundedpreceding)[^)]*\S*, unboundedfollowing", text), text
