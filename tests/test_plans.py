@@ -68,11 +68,36 @@ def test_sliced_plans_read_rows_and_carries_once(plan, monkeypatch, name):
     assert len(scans) == SLICED[name] and "_c_" in text, text
 
 
+def frames_to_the_end(text: str) -> list[str]:
+    """Window frames that end with the key but do not begin with it."""
+    assert "unboundedpreceding" in text, text
+    return re.findall(r"specifiedwindowframe\(\w+, (?!unboundedpreceding)\S+, unboundedfollowing", text)
+
+
 @pytest.mark.parametrize("key", [None, "user_id"])
 def test_segments_have_no_frame_that_is_gone_over_for_each_row(spark, key):
     """A frame from a row to the end of the key costs the square of the key's rows."""
     from keyrill.operators.segments import marker_segments
 
     events = spark.createDataFrame([(1, 1, "a"), (2, 1, "error"), (3, 1, "a")], "event_id long, user_id long, event_type string")
-    text = plan_of(marker_segments(events, key, "event_id", "event_type", "error"))
-    assert "unboundedpreceding" in text and not re.search(r"specifiedwindowframe\(\w+, (?!unboundedpreceding)[^)]*\S*, unboundedfollowing", text), text
+    assert not frames_to_the_end(plan_of(marker_segments(events, key, "event_id", "event_type", "error")))
+
+
+def test_segments_of_a_stream_have_no_frame_that_is_gone_over_for_each_row(spark, tmp_path, monkeypatch):
+    from keyrill.streaming import overall
+
+    plans, segments = [], overall.marker_segments
+
+    def noted(*args):
+        plans.append(plan_of(found := segments(*args)))
+        return found
+
+    monkeypatch.setattr(overall, "marker_segments", noted)
+    store = overall.segments_all(str(tmp_path), "event_id", "event_type", "error", 2)
+    kinds = ["a", "error", "b", "c", "d", "error", "e"]
+    for number, at in enumerate([0, 4]):  # the second segment spans both batches
+        batch = spark.createDataFrame(list(enumerate(kinds))[at : at + 4], "event_id long, event_type string")
+        store(batch, number)
+    assert len(plans) == 2 and not any(map(frames_to_the_end, plans))
+    found = spark.read.parquet(f"{tmp_path}/out").select("segment", "part", "size", "text").collect()
+    assert sorted(map(tuple, found)) == [(0, 0, 1, " a"), (1, 0, 2, " b c"), (1, 1, 1, " d")]
