@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyrill.catalog.tables import HOUR, MINUTE, events_of, of_type, table
-from keyrill.functions.text import explode_lines, explode_tokens, tokens_of, word_variants
-from keyrill.operators import compose, count_windows, enrich, regroup, rolling, segments, sessions, timeouts, transforms
+from keyrill.functions.text import explode_lines, explode_tokens, lines_of, tokens_of, word_variants
+from keyrill.operators import compose, count_windows, enrich, listed, regroup, rolling, segments, sessions, timeouts, transforms
 from keyrill.operators.aggregates import Aggregate, aggregate_by
 from keyrill.operators.interval import interval_join as join_within
 from keyrill.operators.iterate import iterate
@@ -166,15 +166,12 @@ def variant_counts(spark, folder):
 
 @query
 def variant_running_totals(spark, folder):
-    words = document_words(spark, folder)
-    is_match = F.col("word").startswith(PREFIX)
-    marked = words.select("doc_id", "line_no", "pos", is_match.alias("is_match"))
-    totals = rolling.running_counts(
-        marked, ["doc_id", "line_no", "pos"], matches=F.col("is_match"), others=~F.col("is_match")
-    )
-    return totals.select(
-        "doc_id", "line_no", "pos", F.format_string("match:%d,noMatch:%d", "matches", "others").alias("totals")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    totals = listed.running_item_counts(
+        documents, "doc_id", lines_of(F.col("text")), tokens_of, lambda word: word.startswith(PREFIX)
     )
+    shown = F.concat(F.lit("match:"), F.col("matches").cast("string"), F.lit(",noMatch:"), F.col("others").cast("string"))
+    return totals.select("doc_id", F.col("list_no").alias("line_no"), "pos", shown.alias("totals"))
 
 
 @query
