@@ -119,3 +119,44 @@ def test_columns_of_any_name(spark):
     found = near_copies.near_dedup(docs)
     assert found.columns == docs.columns
     assert sorted(map(tuple, found.collect())) == [tuple([i, f"w{i // 2} a b c d e"] + [i] * len(names)) for i in range(0, 8, 2)]
+
+
+def test_similar_sets_share_a_list():
+    """Sets with the least similarity that links, and some with more: equal, or in a list of both."""
+    rng = random.Random(13)
+    for n in [*range(1, 60), *[rng.randrange(60, 600) for _ in range(100)], 9000]:
+        for _ in range(20 if n < 60 else 2):
+            x = {rng.getrandbits(64) for _ in range(n)}
+            gone = rng.randrange(n // 5 + 1)
+            new = max(0, (5 * (n - gone) - 4 * n) // 4)  # as many as the similarity allows
+            y = set(list(x)[gone:]) | {rng.getrandbits(64) for _ in range(new)}
+            assert 5 * len(x & y) >= 4 * len(x | y)
+            a, b = (near_copies.posts(np.array(sorted(s), np.uint64)) for s in (x, y))
+            assert x == y or set(a.tolist()) & set(b.tolist()), (n, gone, new)
+
+
+def test_ranges_without_shingles_do_not_hide_a_pair():
+    """All shingles in few ranges, and a difference in each of these."""
+    x = np.array([1, 2, 3, 4, 1 << 63, (1 << 63) + 1, (1 << 63) + 2, (1 << 63) + 3, (1 << 63) + 4], np.uint64)
+    y = np.array(sorted([*x.tolist(), 7, (1 << 63) + 9]), np.uint64)
+    assert 5 * len(x) >= 4 * len(y)
+    assert set(near_copies.posts(x).tolist()) & set(near_copies.posts(y).tolist())
+
+
+def test_pairs_that_signatures_miss_are_found(spark):
+    rng, rows = random.Random(2), []
+    while len(rows) < 8:
+        words = [f"w{rng.randrange(10**9)}" for _ in range(49)]
+        other = [*words[:20], "edited", *words[21:]]  # 40 of 50 shingles in both
+        x, y = (near_copies.signature(near_copies.grams(" ".join(t))) for t in (words, other))
+        if (x == y).sum() < near_copies.MINIMUM:
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert expected(rows) == [0, 2, 4, 6]
+    assert sorted(r.doc_id for r in near_copies.near_dedup(docs).collect()) == [0, 2, 4, 6]
+
+
+def test_each_group_keeps_a_document_if_doc_ids_repeat(spark):
+    rows = [(3, "a b c d e f"), (5, "a b c d e f"), (5, "q r s t u v"), (5, "g h i j k l"), (7, "g h i j k l")]
+    found = near_copies.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, found)) == [(3, "a b c d e f"), (5, "g h i j k l"), (5, "q r s t u v")]
